@@ -11,7 +11,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from themata.cluster import INLINE_TERMS, materialise, unnest
+from themata.cluster import INLINE_TERMS, materialise
 from themata.functions.arrays import bag
 from themata.operators import dictionary as D
 from themata.operators.ngrams import append_bigrams, fit_bigrams
@@ -75,24 +75,22 @@ class FeatureModel:
         return tokens if self.bigrams is None else append_bigrams(tokens, self.bigrams, self.n_bigrams)
 
     def counts(self, tokens: DataFrame) -> DataFrame:
-        """``(doc_id, term_id, n, total)`` over the selected terms; ``total`` is the document's sum.
-
-        A bounded selection is looked up in the row, so counts and totals need no shuffle.
-        """
+        """``(doc_id, term_id, n, total, idf)`` over the selected terms; ``total`` is the document's
+        sum. A bounded selection is looked up in the row, so counts and totals need no shuffle."""
         return self._counts(self._with_bigrams(tokens))
 
     def _counts(self, tokens: DataFrame) -> DataFrame:
-        words = F.broadcast(self.selected.select("term", "term_id"))  # at most n_dims rows
+        words = F.broadcast(self.selected.select("term", "term_id", "idf"))  # at most n_dims rows
         if self.n_dims <= INLINE_TERMS:
             terms = [r["term"] for r in self.vocabulary()]
             known = tokens.select("doc_id", F.filter("tokens", lambda t: t.isin(terms)).alias("tokens"))
             sized = known.select("doc_id", F.size("tokens").alias("total"), bag(F.col("tokens")).alias("bag"))
-            rows = unnest(sized, ["doc_id", "total"], "bag", "b")
-            counted = rows.select("doc_id", "total", F.col("b.term").alias("term"), F.col("b.n").alias("n"))
-            return counted.join(words, "term").select("doc_id", "term_id", "n", "total")
-        found = D.explode_bags(D.bags(tokens.select("doc_id", "tokens"))).join(words, "term")
-        totals = found.groupBy("doc_id").agg(F.sum("n").alias("total"))
-        return found.join(totals, "doc_id").select("doc_id", "term_id", "n", "total")
+            found = D.explode_bags(sized).join(words, "term")
+        else:
+            found = D.explode_bags(D.bags(tokens.select("doc_id", "tokens"))).join(words, "term")
+            totals = found.groupBy("doc_id").agg(F.sum("n").alias("total"))
+            found = found.join(totals, "doc_id")
+        return found.select("doc_id", "term_id", "n", "total", "idf")
 
     def tf(self, tokens: DataFrame) -> DataFrame:
         return self.counts(tokens).select("doc_id", "term_id", (F.col("n") / F.col("total")).alias("tf"))
@@ -102,9 +100,8 @@ class FeatureModel:
         return self._tfidf(self._with_bigrams(tokens))
 
     def _tfidf(self, tokens: DataFrame) -> DataFrame:
-        weights = F.broadcast(self.selected.select("term_id", "idf"))
-        joined = self._counts(tokens).join(weights, "term_id")
-        return joined.select("doc_id", "term_id", (F.col("n") / F.col("total") * F.col("idf")).alias("w"))
+        weight = F.col("n") / F.col("total") * F.col("idf")
+        return self._counts(tokens).select("doc_id", "term_id", weight.alias("w"))
 
     def weights(self, tokens: DataFrame, refit: bool = False, compat: bool = False) -> DataFrame:
         """Transformed TF-IDF. ``refit=True`` re-estimates entropy weights from the given rows."""
@@ -114,19 +111,22 @@ class FeatureModel:
             entropy = materialise(entropy_weights(tfidf, tokens.count()))
         return transform_weights(tfidf, self.method, entropy, compat)
 
+    def count_vectors(self, tokens: DataFrame, output: str = "counts") -> DataFrame:
+        """One sparse vector of term counts per document, column order = rank. Narrow."""
+        terms = [r["term"] for r in self.vocabulary()]
+        counter = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol=output)
+        return counter.transform(self._with_bigrams(tokens)).drop("tokens")
+
     def vectors(self, tokens: DataFrame, output: str = "features") -> DataFrame:
         """One sparse vector per document (all zero if it holds no selected term), column order =
         rank. Narrow: counting, L1 norm and IDF are JVM transformers, the non-linear transforms
         touch only the stored values."""
         rows = self.vocabulary()
         keep = [c for c in tokens.columns if c != "tokens"]
-        counter = CountVectorizerModel.from_vocabulary(
-            [r["term"] for r in rows], inputCol="tokens", outputCol="__n"
-        )
         scaler = ElementwiseProduct(
             scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="__tf", outputCol="__w"
         )
-        counted = counter.transform(self._with_bigrams(tokens))
+        counted = self.count_vectors(tokens, "__n")
         weighted = scaler.transform(Normalizer(p=1.0, inputCol="__n", outputCol="__tf").transform(counted))
         return weighted.select(*keep, self._transform_vector(F.col("__w")).alias(output))
 
