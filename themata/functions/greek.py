@@ -2,19 +2,18 @@
 Stemmer for the Greek Language").
 
 A rule cuts an ending and, for listed stems, puts part of it back. The rules are a table; they
-are folded into nested Column expressions, so a token array is stemmed where it lies: no Python
-worker, no shuffle, no vocabulary join. Words that are short, not Greek or protected skip the
+are folded into one expression, so a token array is stemmed where it lies: no Python worker, no
+shuffle, no vocabulary join. Words that are short, not Greek or protected skip the
 whole chain.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from themata.cluster import let, unnest
+from themata.cluster import sql_list, unnest
 
 VOWELS = "ΑΕΗΙΟΥΩ"
 VOWELS_WITHOUT_Y = "ΑΕΗΙΟΩ"
@@ -156,10 +155,6 @@ def endings_pattern(endings: str) -> str:
     return f"^(.+?)(?:{'|'.join(endings.split())})$"
 
 
-def ends_pattern(endings: str) -> str:
-    return f"(?:{'|'.join(endings.split())})$"
-
-
 def irregular_pattern() -> str:
     """Group 1 is everything up to and with the irregular stem (step 1)."""
     families = []
@@ -170,86 +165,73 @@ def irregular_pattern() -> str:
     return f"^(.*(?:{'|'.join(families)})).+$"
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
-
-
-def _applies(stem: Column, put: PutBack) -> Column:
-    if put.always:
-        wanted = F.lit(True)
-    else:
-        conditions = []
-        if put.whole:
-            conditions.append(stem.isin(put.whole.split()))
-        if put.ends:
-            conditions.append(stem.rlike(ends_pattern(put.ends)))
-        if put.vowel:
-            conditions.append(stem.rlike(f"[{put.vowel}]$"))
-        if put.shorter:
-            conditions.append(F.length(stem) < put.shorter)
-        wanted = _any(conditions)
+def _ends(stem: str, endings: str) -> str:
+    return f"rlike({stem}, '(?:{'|'.join(endings.split())})$')"
+
+
+def _applies(stem: str, put: PutBack) -> str:
+    conditions = []
+    if put.whole:
+        conditions.append(f"{stem} IN ({sql_list(put.whole.split())})")
+    if put.ends:
+        conditions.append(_ends(stem, put.ends))
+    if put.vowel:
+        conditions.append(f"rlike({stem}, '[{put.vowel}]$')")
+    if put.shorter:
+        conditions.append(f"length({stem}) < {put.shorter}")
+    wanted = "true" if put.always else f"({' OR '.join(conditions)})"
     if put.not_whole:
-        wanted = wanted & ~stem.isin(put.not_whole.split())
+        wanted += f" AND {stem} NOT IN ({sql_list(put.not_whole.split())})"
     if put.not_ends:
-        wanted = wanted & ~stem.rlike(ends_pattern(put.not_ends))
+        wanted += f" AND NOT {_ends(stem, put.not_ends)}"
     return wanted
 
 
-def _apply_rule(word: Column, current: Column, rule: Rule) -> Column:
-    def decide(stem: Column) -> Column:
-        # an empty group means that no ending matched
-        result = F.when(stem == "", current)
-        if rule.if_same_length:
-            result = result.when(F.length(current) != F.length(word), current)
-        if rule.keep:
-            result = result.when(stem.isin(rule.keep.split()), current)
-        for put in rule.put_back:
-            result = result.when(_applies(stem, put), F.concat(stem, F.lit(put.text)))
-        return result.otherwise(stem)
-
-    return let(F.regexp_extract(current, endings_pattern(rule.endings), 1), decide)
-
+def _apply_rule(word: str, current: str, rule: Rule) -> str:
+    """The rule as SQL. A one-element ``transform`` names the stem, an empty stem means no match."""
+    cases = [f"WHEN st = '' THEN {current}"]
+    if rule.if_same_length:
+        cases.append(f"WHEN length({current}) <> length({word}) THEN {current}")
+    if rule.keep:
+        cases.append(f"WHEN st IN ({sql_list(rule.keep.split())}) THEN {current}")
+    cases += [f"WHEN {_applies('st', put)} THEN concat(st, '{put.text}')" for put in rule.put_back]
+    found = f"regexp_extract({current}, '{endings_pattern(rule.endings)}', 1)"
+    return f"transform(array({found}), st -> CASE {' '.join(cases)} ELSE st END)[0]"
 
-def _skips(word: Column, protected: list[str]) -> Column:
-    skips = (F.length(word) < MIN_CHARS) | ~word.rlike(GREEK_WORD)
-    return skips | word.isin(protected) if protected else skips
 
+def stem_sql(tokens: str, protected=()) -> str:
+    """SQL for an array of stems; each rule is one ``transform`` over (word, current stem) pairs.
 
-def stem_tokens(tokens: Column, protected=()) -> Column:
-    """Stem each accent-free upper-case token of an array in place. Narrow: no shuffle, no join.
-
-    Each rule is one ``transform`` over (word, current stem) pairs; words that are not stemmed
-    carry a null and pass every rule untouched. Arrays without a Greek word skip it all.
+    Words that are not stemmed carry a null and pass every rule untouched. Arrays without a Greek
+    word skip it all.
     """
     protected = list(protected)
+    stems = f"length(w) >= {MIN_CHARS} AND rlike(w, '{GREEK_WORD}')"
+    if protected:
+        stems += f" AND w NOT IN ({sql_list(protected)})"
+    first = f"regexp_replace(w, '{irregular_pattern()}', '$1')"
+    pairs = f"transform({tokens}, w -> named_struct('w', w, 's', CASE WHEN {stems} THEN {first} END))"
+    for rule in RULES:
+        current = "p.s"
+        if rule.step == "5a":
+            current = f"if(p.w = '{SPECIAL_WORD}', '{SPECIAL_STEM}', p.s)"
+        changed = _apply_rule("p.w", current, rule)
+        pairs = f"transform({pairs}, p -> named_struct('w', p.w, 's', CASE WHEN p.s IS NOT NULL THEN {changed} END))"
+    done = f"transform({pairs}, p -> coalesce(p.s, p.w))"
+    return f"CASE WHEN exists({tokens}, w -> rlike(w, '{GREEK_WORD}')) THEN {done} ELSE {tokens} END"
 
-    def begin(w: Column) -> Column:
-        first = F.regexp_replace(w, irregular_pattern(), "$1")
-        return F.struct(w.alias("w"), F.when(~_skips(w, protected), first).alias("s"))
-
-    def advance(rule: Rule):
-        def step(pair: Column) -> Column:
-            word, current = pair["w"], pair["s"]
-            if rule.step == "5a":
-                current = F.when(word == SPECIAL_WORD, F.lit(SPECIAL_STEM)).otherwise(current)
-            changed = F.when(pair["s"].isNotNull(), _apply_rule(word, current, rule))
-            return F.struct(word.alias("w"), changed.alias("s"))
-
-        return step
 
-    pairs = F.transform(tokens, begin)
-    for rule in RULES:
-        pairs = F.transform(pairs, advance(rule))
-    stems = F.transform(pairs, lambda pair: F.coalesce(pair["s"], pair["w"]))
-    return F.when(F.exists(tokens, lambda w: w.rlike(GREEK_WORD)), stems).otherwise(tokens)
+def stem_tokens(column: str, protected=()) -> Column:
+    """Stem each accent-free upper-case token of an array column in place: no shuffle, no join."""
+    return F.expr(stem_sql(column, protected))
 
 
-def stem_word(word: Column, protected=()) -> Column:
-    """Stem of one accent-free upper-case word."""
-    return stem_tokens(F.array(word), protected).getItem(0)
+def stem_word(column: str, protected=()) -> Column:
+    """Stem of one accent-free upper-case word per row."""
+    return F.expr(f"({stem_sql(f'array({column})', protected)})[0]")
 
 
 def stem_vocabulary(tokens: DataFrame, protected=(), column: str = "tokens") -> DataFrame:
     """``(word, stem)`` for each distinct token; the stemmer runs once per word."""
     words = unnest(tokens, [], column, "word").distinct()
-    return words.select("word", stem_word(F.col("word"), protected).alias("stem"))
+    return words.select("word", stem_word("word", protected).alias("stem"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import Column, functions as F
 
+from themata.cluster import sql_list
+
 # Fixed values.
 NUMBER_CONST = "NUMBERVALUE"
 COUNTRY_CONST = "COUNTRYVALUE"
@@ -31,7 +33,8 @@ _HANGUL_FIRST, _HANGUL_LAST = "가", "힣"
 def _accent_maps() -> tuple[str, str, str, dict[str, str]]:
     """(from, to, deleted, several): what each character becomes under NFD without marks."""
     one_from, one_to, deleted, several = [], [], [], {}
-    for code in range(sys.maxunicode + 1):
+    # the planes in use; the wide gap between them holds no characters
+    for code in chain(range(0x34000), range(0xE0000, 0xE1000)):
         if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3:
             continue
         char = chr(code)
@@ -112,22 +115,27 @@ def tokenize(text: Column, compat: bool = False) -> Column:
     return F.split(clean_nonword(merged), " ")
 
 
-def drop_terms(tokens: Column, terms) -> Column:
+def drop_terms(column: str, terms) -> Column:
     """Drop the tokens found in ``terms`` (a bounded collection), keeping order and duplicates."""
     terms = list(terms)
-    return F.filter(tokens, lambda t: ~t.isin(terms)) if terms else tokens
+    return F.expr(f"filter({column}, t -> t NOT IN ({sql_list(terms)}))") if terms else F.col(column)
+
+
+def keep_terms(column: str, terms) -> Column:
+    """Keep only the tokens found in ``terms`` (a bounded collection)."""
+    return F.expr(f"filter({column}, t -> t IN ({sql_list(terms) or 'null'}))")
 
 
 def mark_numbers(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(NUMBER_CONST)).otherwise(t))
 
 
-def mark_terms(tokens: Column, terms, constant: str = COUNTRY_CONST) -> Column:
+def mark_terms(column: str, terms, constant: str = COUNTRY_CONST) -> Column:
     """Replace the tokens found in ``terms`` (a bounded collection) by ``constant``."""
     terms = list(terms)
     if not terms:
-        return tokens
-    return F.transform(tokens, lambda t: F.when(t.isin(terms), F.lit(constant)).otherwise(t))
+        return F.col(column)
+    return F.expr(f"transform({column}, t -> if(t IN ({sql_list(terms)}), {sql_list([constant])}, t))")
 
 
 def min_length(tokens: Column, chars: int = MIN_TOKEN_CHARS) -> Column:

@@ -49,8 +49,12 @@ def label_terms(tokens: DataFrame, label: str = "label") -> DataFrame:
     One pass over the text serves class TF, variance, document frequency and IDF. Frequent terms
     and large classes are combined on the map side before they are shuffled.
     """
-    counted = explode_bags(bags(tokens.select(F.col(label).alias("label"), "tokens")))
-    return counted.groupBy("label", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
+    both = tokens.select(F.col(label).alias("label"), F.array("tokens", F.array_distinct("tokens")).alias("lists"))
+    lists = unnest(both, ["label"], "lists", "list", "distinct")
+    rows = unnest(lists, ["label", "distinct"], "list", "term")
+    return rows.groupBy("label", "term").agg(
+        F.count_if(F.col("distinct") == 0).alias("n"), F.count_if(F.col("distinct") == 1).alias("df")
+    )
 
 
 def label_set(docs: DataFrame, label: str = "label") -> DataFrame:
@@ -85,7 +89,9 @@ def class_variance(tf: DataFrame, n_classes: int | Column) -> DataFrame:
 def select_terms(variance: DataFrame, n_dims: int, digits: int = 15) -> DataFrame:
     """The ``n_dims`` terms of largest variance. Variances that agree to ``digits`` places count as
     equal and are ordered by the term, so the cut does not depend on summation order."""
-    return variance.orderBy(F.round("var", digits).desc(), "term").limit(n_dims)
+    # a key column of its own, or each comparison of the sort would round again
+    keyed = variance.withColumn("__key", F.round("var", digits))
+    return keyed.orderBy(F.desc("__key"), "term").limit(n_dims).drop("__key")
 
 
 def doc_freq(counts: DataFrame) -> DataFrame:

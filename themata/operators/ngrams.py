@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import INLINE_TERMS, materialise, unnest
 from themata.functions.arrays import pairs
+from themata.functions.text import keep_terms
 
 
 def bigrams(tokens: DataFrame) -> DataFrame:
@@ -65,9 +66,11 @@ def append_bigrams(tokens: DataFrame, kept: DataFrame, n: int) -> DataFrame:
     """
     if n <= INLINE_TERMS:
         terms = sorted(r["term"] for r in kept.select("term").collect())
+        if not terms:
+            return tokens
         named = F.transform(pairs(F.col("tokens")), lambda p: F.concat_ws(" ", p["w1"], p["w2"]))
-        found = F.filter(named, lambda t: t.isin(terms)) if terms else F.array().cast("array<string>")
-        return tokens.withColumn("tokens", F.concat("tokens", found))
+        found = tokens.withColumn("__pairs", named).withColumn("__pairs", keep_terms("__pairs", terms))
+        return found.withColumn("tokens", F.concat("tokens", "__pairs")).drop("__pairs")
     found = (
         bigrams(tokens)
         .select("doc_id", "pos", F.concat_ws(" ", "w1", "w2").alias("term"))

@@ -15,7 +15,7 @@ def drop_stopwords(df: DataFrame, stopwords: DataFrame, key: str = "doc_id", col
     token; a larger one is anti-joined on the exploded tokens."""
     terms = inline_terms(stopwords)
     if terms is not None:
-        return df.withColumn(column, T.drop_terms(F.col(column), terms))
+        return df.withColumn(column, T.drop_terms(column, terms))
     exploded = unnest(df, [key], column, "token", "pos")
     kept = exploded.join(stopwords.select(F.col("term").alias("token")).distinct(), "token", "left_anti")
     return _regroup(df, kept, key, column)
@@ -27,7 +27,7 @@ def mark_lexicon(
     """Replace the tokens that a lexicon lists by one placeholder."""
     terms = inline_terms(lexicon)
     if terms is not None:
-        return df.withColumn(column, T.mark_terms(F.col(column), terms, constant))
+        return df.withColumn(column, T.mark_terms(column, terms, constant))
     exploded = unnest(df, [key], column, "token", "pos")
     listed = lexicon.select(F.col("term").alias("token"), F.lit(True).alias("__listed")).distinct()
     marked = exploded.join(listed, "token", "left").withColumn(
@@ -62,13 +62,13 @@ def preprocess(
     def filtered(df: DataFrame, words, by_join, by_value) -> DataFrame:
         if isinstance(words, DataFrame):
             return by_join(df, words)
-        return df.withColumn("tokens", by_value(F.col("tokens"), words))
+        return df.withColumn("tokens", by_value("tokens", words))
 
     tokens = T.tokenize(F.upper(T.strip_accents(F.col(text))), compat)
     df = docs.withColumn("tokens", tokens).drop(text)
     df = filtered(df, stopwords, drop_stopwords, T.drop_terms)
     if stem:
-        df = df.withColumn("tokens", stem_tokens(F.col("tokens"), protected))
+        df = df.withColumn("tokens", stem_tokens("tokens", protected))
     df = df.withColumn("tokens", T.mark_numbers(F.col("tokens")))
     df = filtered(df, places, mark_lexicon, T.mark_terms)
     return df.withColumn("tokens", T.min_length(F.col("tokens")))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from themata.cluster import INLINE_TERMS, materialise
 from themata.functions.arrays import bag
+from themata.functions.text import keep_terms
 from themata.operators import dictionary as D
 from themata.operators.ngrams import append_bigrams, fit_bigrams
 from themata.operators.weights import TRANSFORMS, entropy_weights, transform_weights
@@ -83,7 +84,7 @@ class FeatureModel:
         words = F.broadcast(self.selected.select("term", "term_id", "idf"))  # at most n_dims rows
         if self.n_dims <= INLINE_TERMS:
             terms = [r["term"] for r in self.vocabulary()]
-            known = tokens.select("doc_id", F.filter("tokens", lambda t: t.isin(terms)).alias("tokens"))
+            known = tokens.select("doc_id", keep_terms("tokens", terms).alias("tokens"))
             sized = known.select("doc_id", F.size("tokens").alias("total"), bag(F.col("tokens")).alias("bag"))
             found = D.explode_bags(sized).join(words, "term")
         else:

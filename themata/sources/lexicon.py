@@ -18,7 +18,7 @@ def read_lexicon(spark: SparkSession, path: str | list[str], pattern: str = r"^(
 def normalise_lexicon(terms: DataFrame, stem: bool = True, protected=()) -> DataFrame:
     """Accents off, upper case and (by default) stemmed, so that entries meet processed tokens."""
     words = terms.select(F.upper(strip_accents(F.col("term"))).alias("word"))
-    stemmed = stem_word(F.col("word"), protected) if stem else F.col("word")
+    stemmed = stem_word("word", protected) if stem else F.col("word")
     return words.select(stemmed.alias("term")).distinct()
 
 
