@@ -255,7 +255,7 @@ def test_compare_models_and_single_run(spark):
     rng = np.random.default_rng(5)
     rows = [(i, "xy"[i % 2], rng.choice(words["xy"[i % 2]], 6).tolist()) for i in range(60)]
     tokens = spark.createDataFrame(rows, "doc_id long, label string, tokens array<string>").coalesce(2)
-    chain = {"n_dims": 10, "k": 3}
+    chain = {"n_dims": 10, "components": 3}
     models = [{"method": "NB"}, {"method": "MEAN", "metric": "mahalanobis"}, {"method": "KNN", "n_neighbors": 3}]
     scores = experiments.compare_models(tokens, 2, labels.hash_fold("doc_id", 2), models, **chain)
     means = {r["method"]: r["accuracy"] for r in experiments.fold_means(scores).collect()}

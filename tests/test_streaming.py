@@ -1,7 +1,7 @@
 from themata.operators import centroids, reduce
 from themata.operators.preprocess import preprocess
 from themata.plans.features import FeatureModel
-from themata.streaming import score_stream
+from themata.streaming import score, score_stream
 
 
 def test_fitted_chain_on_a_stream(spark, corpus, tmp_path):
@@ -9,13 +9,12 @@ def test_fitted_chain_on_a_stream(spark, corpus, tmp_path):
     model = FeatureModel.fit(tokens, n_dims=20, method="log")
     reducer = reduce.fit_pca(model.vectors(tokens), 3)
     classifier = centroids.fit_centroids(reducer.transform(model.vectors(tokens)), "euclidean")
-    batch = {r["doc_id"]: r["prediction"] for r in score_stream(corpus, model, reducer, classifier).collect()}
+    batch = {r["doc_id"]: r["prediction"] for r in score(corpus, model, reducer, classifier).collect()}
     corpus.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(corpus.schema).parquet(str(tmp_path / "in"))
-    query = (
-        score_stream(stream, model, reducer, classifier)
-        .writeStream.format("memory").queryName("scored").option("checkpointLocation", str(tmp_path / "cp")).start()
-    )
+    out = str(tmp_path / "out")
+    writer = score_stream(stream, model, reducer, classifier, lambda df: df.write.mode("append").parquet(out))
+    query = writer.option("checkpointLocation", str(tmp_path / "cp")).start()
     query.processAllAvailable()
     query.stop()
-    assert {r["doc_id"]: r["prediction"] for r in spark.table("scored").collect()} == batch
+    assert {r["doc_id"]: r["prediction"] for r in spark.read.parquet(out).collect()} == batch

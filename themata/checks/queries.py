@@ -357,7 +357,7 @@ def on_documents(method, **params):
 
     def query(spark, sf):
         t = materialise(tokens(spark, sf))
-        rows, _ = experiments.text_vectors(t, t, n_dims=PAIR_TERMS, k=20)
+        rows, _ = experiments.text_vectors(t, t, n_dims=PAIR_TERMS, components=20)
         return experiments.train_model(rows, method, **params).predict(rows).select("id", "prediction")
 
     return query

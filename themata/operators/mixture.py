@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from themata.cluster import materialise
 from themata.functions.blocks import CHUNK_ROWS, as_vector, best_class, matrix, width_of
 from themata.operators.centroids import features_of
+from themata.operators.reduce import class_means, covariance
+
+
+REG_COVAR = 1e-6
 
 
 def _log_normal(x: np.ndarray, mean: np.ndarray, half: np.ndarray) -> np.ndarray:
@@ -54,6 +58,11 @@ class MixtureModel:
         return df.withColumn("prediction", best_class(features_of(df, column), self.width, scores, labels))
 
 
+def _inverse_root(covariance_: np.ndarray) -> np.ndarray:
+    regular = covariance_ + REG_COVAR * np.eye(len(covariance_))
+    return np.linalg.cholesky(np.linalg.inv(regular))
+
+
 def _labels(df: DataFrame, label: str) -> list:
     return sorted(r[0] for r in df.select(label).distinct().collect())
 
@@ -65,19 +74,25 @@ def fit_gmm_full(
     """Full covariances: ``pyspark.ml`` mixtures, one distributed fit per class."""
     data = materialise(df.select(F.col(label).alias("label"), as_vector(df, column).alias("v")))
     width = width_of(data, "v")
+    if n_components == 1:  # the Gaussian of the class; Spark's mixtures start at two components
+        parts = {}
+        for row in class_means(data, "v").collect():
+            rows = data.where(F.col("label") == row["label"])
+            cov = covariance(rows, "v") * (row["n"] - 1) / row["n"] if row["n"] > 1 else np.zeros((width, width))
+            parts[row["label"]] = [(1.0, np.array(row["mean"]), _inverse_root(cov))]
+        return MixtureModel("full", parts, width)
     estimator = GaussianMixture(k=n_components, featuresCol="v", maxIter=max_iter, tol=tol, seed=seed)
     parts = {}
     for name in _labels(data, "label"):
         model = estimator.fit(data.where(F.col("label") == name))
         parts[name] = []
         for weight, row in zip(model.weights, model.gaussiansDF.collect()):
-            cov = row["cov"].toArray() + 1e-6 * np.eye(width)
-            parts[name].append((max(weight, 1e-300), row["mean"].toArray(), np.linalg.cholesky(np.linalg.inv(cov))))
+            parts[name].append((max(weight, 1e-300), row["mean"].toArray(), _inverse_root(row["cov"].toArray())))
     return MixtureModel("full", parts, width)
 
 
 def fit_gmm_diag(
-    df: DataFrame, n_components: int = 5, max_iter: int = 100, tol: float = 1e-3, reg_covar: float = 1e-6,
+    df: DataFrame, n_components: int = 5, max_iter: int = 100, tol: float = 1e-3, reg_covar: float = REG_COVAR,
     seed: int = 0, column: str = "features", label: str = "label",
 ) -> MixtureModel:
     """Diagonal covariances by EM, all classes in one job per step (Spark itself has full only).
@@ -90,9 +105,11 @@ def fit_gmm_diag(
     start = data.select("label", as_vector(data, "x").alias("v"))
     parts = {}
     for name in _labels(data, "label"):
+        if n_components == 1:  # k-means starts at two; the first step then takes the class mean
+            parts[name] = ("hard", np.zeros((1, width)))
+            continue
         fitted = KMeans(k=n_components, featuresCol="v", seed=seed, maxIter=20).fit(start.where(F.col("label") == name))
-        centres = np.array(fitted.clusterCenters())
-        parts[name] = ("hard", centres)
+        parts[name] = ("hard", np.array(fitted.clusterCenters()))
 
     history, previous = [], -np.inf
     for _ in range(max_iter + 1):

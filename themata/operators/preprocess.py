@@ -71,4 +71,7 @@ def preprocess(
         df = df.withColumn("tokens", stem_tokens("tokens", protected))
     df = df.withColumn("tokens", T.mark_numbers(F.col("tokens")))
     df = filtered(df, places, mark_lexicon, T.mark_terms)
-    return df.withColumn("tokens", T.min_length(F.col("tokens")))
+    # Naming the tokens twice keeps this projection apart from the one above: folded together with a
+    # later Python function, the stemmer's nested lambdas stop Spark from planning that function.
+    long_enough = T.min_length(F.col("tokens"))
+    return df.withColumn("tokens", F.when(F.size("tokens") > 0, long_enough).otherwise(F.col("tokens")))

@@ -140,12 +140,12 @@ def fold_means(scores: DataFrame) -> DataFrame:
 
 
 def text_vectors(train: DataFrame, test: DataFrame, n_dims: int = 3000, n_bigrams: int = 0, bigram_min_freq: int = 5,
-                 method: str = "binary", reduction: str = "PCA", k: int = 70) -> tuple[DataFrame, DataFrame]:
+                 method: str = "binary", reduction: str = "PCA", components: int = 70) -> tuple[DataFrame, DataFrame]:
     """Tokens ``(doc_id, label, tokens)`` to reduced vectors ``(id, label, features)``, everything
     fitted on the training part."""
     model = FeatureModel.fit(train, n_dims=n_dims, n_bigrams=n_bigrams, bigram_min_freq=bigram_min_freq, method=method)
     vectors = materialise(model.vectors(train))
-    reducer = fit_reduction(vectors, reduction, k)
+    reducer = fit_reduction(vectors, reduction, components)
     named = lambda df: reducer.transform(df).withColumnRenamed("doc_id", "id").select("id", "label", "features")
     return materialise(named(vectors)), materialise(named(model.vectors(test)))
 

@@ -1,20 +1,39 @@
 """Applying fitted models to a stream of articles.
 
 Preprocessing, term weights, reductions and all predictions but nearest neighbours are narrow, so a
-fitted chain works on a streaming DataFrame as it is: no state, no watermark.
+fitted chain scores each micro-batch as it comes: no state, no watermark.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import DataStreamWriter
 
 from themata.operators.preprocess import preprocess
 from themata.operators.reduce import Projection
 from themata.plans.features import FeatureModel
 
 
-def score_stream(docs: DataFrame, features: FeatureModel, reducer: Projection | None, classifier, **lexicons) -> DataFrame:
-    """``docs`` (doc_id, text, …) to the same rows with ``prediction``; lexicons as collections."""
+def score(docs: DataFrame, features: FeatureModel, reducer: Projection | None, classifier, **lexicons) -> DataFrame:
+    """``docs`` (doc_id, text, …) to the same rows with ``prediction``."""
     vectors = features.vectors(preprocess(docs, **lexicons))
     reduced = reducer.transform(vectors) if reducer else vectors
     return classifier.predict(reduced).drop("features")
+
+
+def score_stream(
+    docs: DataFrame,
+    features: FeatureModel,
+    reducer: Projection | None,
+    classifier,
+    write: Callable[[DataFrame], None],
+    **lexicons,
+) -> DataStreamWriter:
+    """Score every micro-batch of ``docs`` and hand the rows to ``write``."""
+
+    def on_batch(batch: DataFrame, _: int) -> None:
+        write(score(batch, features, reducer, classifier, **lexicons))
+
+    return docs.writeStream.foreachBatch(on_batch)
