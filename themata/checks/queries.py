@@ -58,8 +58,16 @@ def vectors(spark, sf) -> DataFrame:
     )
 
 
-def features(spark, sf, method: str = "none", n_dims: int = N_TERMS) -> FeatureModel:
-    return FeatureModel.fit(tokens(spark, sf), n_dims=n_dims, method=method)
+def staged_tokens(spark, sf) -> DataFrame:
+    """Tokens as a stage table, for queries that read them more than once: at scale, writing them is
+    far cheaper than a second run of the text chain."""
+    return materialise(tokens(spark, sf))
+
+
+def features(spark, sf, method: str = "none", n_dims: int = N_TERMS) -> tuple[FeatureModel, DataFrame]:
+    """A model fitted on the documents, and their tokens."""
+    t = staged_tokens(spark, sf)
+    return FeatureModel.fit(t, n_dims=n_dims, method=method), t
 
 
 def joined(df: DataFrame) -> DataFrame:
@@ -187,12 +195,12 @@ def pmi_columns(df):
 
 
 def append_bigrams(spark, sf):
-    t = tokens(spark, sf)
+    t = staged_tokens(spark, sf)
     return joined(ngrams.append_bigrams(t, ngrams.fit_bigrams(t, N_BIGRAMS, MIN_FREQ), N_BIGRAMS))
 
 
 def bigram_by_variance(spark, sf):
-    t = tokens(spark, sf)
+    t = staged_tokens(spark, sf)
     kept = ngrams.fit_bigrams(t, N_BIGRAMS, MIN_FREQ)
     both = ngrams.append_bigrams(t, kept, N_BIGRAMS)
     by_label = materialise(D.label_terms(both))
@@ -205,7 +213,7 @@ def bigram_by_variance(spark, sf):
 
 
 def counts_with_ids(spark, sf):
-    t = tokens(spark, sf)
+    t = staged_tokens(spark, sf)
     words = D.dictionary(t)
     return D.term_counts(t, broadcast_if_small(words)), words
 
@@ -226,37 +234,56 @@ def select_terms(spark, sf, n=N_TERMS):
 
 
 def doc_freq(spark, sf):
-    m = features(spark, sf)
-    return D.doc_freq(m.counts(tokens(spark, sf)))
+    m, t = features(spark, sf)
+    return D.doc_freq(m.counts(t))
 
 
 def tfidf_columns(df):
     return df.select("doc_id", "term_id", F.round("w", 9).alias("w"))
 
 
+def tf(spark, sf):
+    m, t = features(spark, sf)
+    return m.tf(t).select("doc_id", "term_id", F.round("tf", 9).alias("tf"))
+
+
+def idf(spark, sf):
+    m, _ = features(spark, sf)
+    return m.selected.select("term_id", "df", F.round("idf", 9).alias("idf"))
+
+
+def tfidf(test=False):
+    def query(spark, sf):
+        m, t = features(spark, sf)
+        return tfidf_columns(m.tfidf(test_tokens(spark, sf) if test else t))
+
+    return query
+
+
 def transformed(method, test=False):
     def query(spark, sf):
-        rows = test_tokens(spark, sf) if test else tokens(spark, sf)
-        return tfidf_columns(features(spark, sf, method).weights(rows))
+        m, t = features(spark, sf, method)
+        return tfidf_columns(m.weights(test_tokens(spark, sf) if test else t))
 
     return query
 
 
 def term_pair_mi(spark, sf):
-    m = features(spark, sf, n_dims=PAIR_TERMS)
-    found = pairs.term_pair_mi(m.count_vectors(tokens(spark, sf)), m.vocabulary(), m.n_docs)
+    m, t = features(spark, sf, n_dims=PAIR_TERMS)
+    found = pairs.term_pair_mi(m.count_vectors(t), m.vocabulary(), m.n_docs)
     return found.select("term_a", "term_b", "agree", F.round("mi", 9).alias("mi"))
 
 
 def term_weights(spark, sf):
-    m = features(spark, sf)
+    m, _ = features(spark, sf)
     return weights.descriptive_weights(m.selected, 200).select("rank", "term", F.round("weight", 12).alias("weight"))
 
 
 def feature_vectors(spark, sf):
     values = vector_to_array("features")
     summed = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-    return features(spark, sf).vectors(tokens(spark, sf)).select(
+    m, t = features(spark, sf)
+    return m.vectors(t).select(
         "doc_id", F.size(F.filter(values, lambda x: x > 0)).alias("n_terms"), F.round(summed, 9).alias("total")
     )
 
@@ -270,8 +297,8 @@ def reduced(method, k=8):
 
 def reduce_test(spark, sf):
     """Terms of one corpus reduced, then applied to another."""
-    m = features(spark, sf, "binary", PAIR_TERMS)
-    fitted = reduce.fit_pca(m.vectors(tokens(spark, sf)), 20)
+    m, t = features(spark, sf, "binary", PAIR_TERMS)
+    fitted = reduce.fit_pca(materialise(m.vectors(t)), 20)  # the fit reads its rows several times
     return fitted.transform(m.vectors(test_tokens(spark, sf)))
 
 
@@ -356,7 +383,7 @@ def on_documents(method, **params):
     """A classifier of documents by language: terms, weights, PCA, fit, predict."""
 
     def query(spark, sf):
-        t = materialise(tokens(spark, sf))
+        t = staged_tokens(spark, sf)
         rows, _ = experiments.text_vectors(t, t, n_dims=PAIR_TERMS, components=20)
         return experiments.train_model(rows, method, **params).predict(rows).select("id", "prediction")
 
@@ -446,11 +473,11 @@ QUERIES = {
         "label", "term", F.round("tf", 12).alias("tf")),
     "class_variance": lambda s, sf: variance(s, sf).select("term", F.round("var", 12).alias("var")),
     "select_terms": select_terms,
-    "tf": lambda s, sf: features(s, sf).tf(tokens(s, sf)).select("doc_id", "term_id", F.round("tf", 9).alias("tf")),
+    "tf": tf,
     "doc_freq": doc_freq,
-    "idf": lambda s, sf: features(s, sf).selected.select("term_id", "df", F.round("idf", 9).alias("idf")),
-    "tfidf_train": lambda s, sf: tfidf_columns(features(s, sf).tfidf(tokens(s, sf))),
-    "tfidf_test": lambda s, sf: tfidf_columns(features(s, sf).tfidf(test_tokens(s, sf))),
+    "idf": idf,
+    "tfidf_train": tfidf(),
+    "tfidf_test": tfidf(test=True),
     "term_pair_mi": term_pair_mi,
     "term_weights": term_weights,
     "label_set": lambda s, sf: D.label_set(docs(s, sf)),

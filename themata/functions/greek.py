@@ -150,19 +150,41 @@ RULES = (
 )
 
 
-def endings_pattern(endings: str) -> str:
-    """Group 1 is the shortest non-empty stem in front of one of the endings."""
-    return f"^(.+?)(?:{'|'.join(endings.split())})$"
+def _by_length(words: list[str]) -> dict[int, list[str]]:
+    out: dict[int, list[str]] = {}
+    for word in words:
+        out.setdefault(len(word), []).append(word)
+    return dict(sorted(out.items(), reverse=True))
 
 
-def irregular_pattern() -> str:
-    """Group 1 is everything up to and with the irregular stem (step 1)."""
-    families = []
+def _cut_longest(current: str, endings: str) -> str:
+    """SQL for the non-empty stem in front of the longest fitting ending, else an empty string.
+
+    One set look-up per ending length; an alternation of a hundred endings, tried at each letter,
+    costs a hundred times as much.
+    """
+    cases = [
+        f"WHEN length({current}) > {n} AND substr({current}, -{n}) IN ({sql_list(group)}) "
+        f"THEN left({current}, length({current}) - {n})"
+        for n, group in _by_length(endings.split()).items()
+    ]
+    return f"CASE {' '.join(cases)} ELSE '' END"
+
+
+def _first_step(word: str) -> str:
+    """SQL for step 1: an irregular noun keeps the family's stem."""
+    groups: dict[tuple[int, int], list[str]] = {}
     for line in IRREGULAR.split("\n"):
         if line:
-            kept, *cut = line.split()
-            families.append(f"{kept}(?=(?:{'|'.join(cut)})$)")
-    return f"^(.*(?:{'|'.join(families)})).+$"
+            kept, *endings = line.split()
+            for ending in endings:
+                groups.setdefault((len(kept + ending), len(ending)), []).append(kept + ending)
+    cases = [
+        f"WHEN length({word}) >= {n} AND substr({word}, -{n}) IN ({sql_list(group)}) "
+        f"THEN left({word}, length({word}) - {cut})"
+        for (n, cut), group in sorted(groups.items(), reverse=True)
+    ]
+    return f"CASE {' '.join(cases)} ELSE {word} END"
 
 
 def _ends(stem: str, endings: str) -> str:
@@ -190,13 +212,14 @@ def _applies(stem: str, put: PutBack) -> str:
 def _apply_rule(word: str, current: str, rule: Rule) -> str:
     """The rule as SQL. A one-element ``transform`` names the stem, an empty stem means no match."""
     cases = [f"WHEN st = '' THEN {current}"]
-    if rule.if_same_length:
-        cases.append(f"WHEN length({current}) <> length({word}) THEN {current}")
     if rule.keep:
         cases.append(f"WHEN st IN ({sql_list(rule.keep.split())}) THEN {current}")
     cases += [f"WHEN {_applies('st', put)} THEN concat(st, '{put.text}')" for put in rule.put_back]
-    found = f"regexp_extract({current}, '{endings_pattern(rule.endings)}', 1)"
-    return f"transform(array({found}), st -> CASE {' '.join(cases)} ELSE st END)[0]"
+    found = _cut_longest(current, rule.endings)
+    changed = f"transform(array({found}), st -> CASE {' '.join(cases)} ELSE st END)[0]"
+    if rule.if_same_length:
+        return f"if(length({current}) = length({word}), {changed}, {current})"
+    return changed
 
 
 def stem_sql(tokens: str, protected=()) -> str:
@@ -209,8 +232,7 @@ def stem_sql(tokens: str, protected=()) -> str:
     stems = f"length(w) >= {MIN_CHARS} AND rlike(w, '{GREEK_WORD}')"
     if protected:
         stems += f" AND w NOT IN ({sql_list(protected)})"
-    first = f"regexp_replace(w, '{irregular_pattern()}', '$1')"
-    pairs = f"transform({tokens}, w -> named_struct('w', w, 's', CASE WHEN {stems} THEN {first} END))"
+    pairs = f"transform({tokens}, w -> named_struct('w', w, 's', CASE WHEN {stems} THEN {_first_step('w')} END))"
     for rule in RULES:
         current = "p.s"
         if rule.step == "5a":
