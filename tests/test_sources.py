@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from themata.sources.lexicon import inline_terms, normalise_lexicon, read_lexicon
 from themata.sources.raw import scan_raw, to_utf8
-from themata.sources.store import StageStore
+from themata.sources.store import StageStore, input_fingerprint
 
 
 def test_scan_raw(spark, tmp_path):
@@ -57,6 +57,15 @@ def test_stage_store(spark, tmp_path):
     assert calls == [3, 4, 3, 3, 3]
 
 
+def test_fingerprint_sees_changed_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    first = input_fingerprint(spark.read.parquet(path))
+    assert input_fingerprint(spark.read.parquet(path)) == first
+    spark.range(4).write.mode("append").parquet(path)
+    assert input_fingerprint(spark.read.parquet(path)) != first
+
+
 def test_stage_store_models(spark, tmp_path):
     from pyspark.ml import PipelineModel
 

@@ -138,8 +138,10 @@ def lexicon_terms(spark, sf):
 
 def stage_roundtrip(spark, sf):
     corpus = docs(spark, sf)
-    store = StageStore(spark, f"{shared_folder(spark)}/themata")
-    stored = store.table("tokens", lambda: tokens(spark, sf), {"stem": False}, input_fingerprint(corpus), parsing=True)
+    store = StageStore(spark, f"{shared_folder(spark)}/themata/{uuid.uuid4().hex}")
+    stage = lambda: store.table("tokens", lambda: tokens(spark, sf), {"stem": False}, input_fingerprint(corpus), parsing=True)
+    stage()  # builds and writes
+    stored = stage()  # reloads
     return stored.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("tokens")).alias("n_tokens"))
 
 

@@ -256,4 +256,7 @@ def stem_word(column: str, protected=()) -> Column:
 def stem_vocabulary(tokens: DataFrame, protected=(), column: str = "tokens") -> DataFrame:
     """``(word, stem)`` for each distinct token; the stemmer runs once per word."""
     words = unnest(tokens, [], column, "word").distinct()
+    # few bytes but much work per word: keep AQE from folding the vocabulary into one task
+    partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = words.repartition(partitions, "word")
     return words.select("word", stem_word("word", protected).alias("stem"))

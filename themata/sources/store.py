@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: reload every stage / reload only parsed text / compute everything anew
 CACHE_MODES = ("all", "parse-only", "none")
@@ -62,6 +62,8 @@ class StageStore:
 
 
 def input_fingerprint(df: DataFrame) -> list:
-    """Files, sizes and schema behind a table, without reading its rows."""
-    files = sorted(df.inputFiles())
-    return [df.schema.simpleString(), files]
+    """Schema, number of files and a hash of their paths, sizes and times, without reading their rows."""
+    files = df.sparkSession.read.format("binaryFile").load(df.inputFiles())
+    marks = F.xxhash64("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(marks).alias("mark")).first()
+    return [df.schema.simpleString(), row["n"], row["mark"]]
