@@ -38,14 +38,14 @@ def file_name(path: Column) -> Column:
 def scan_raw(
     spark: SparkSession,
     paths: str | list[str],
-    glob: str = "*.raw",
+    glob: str = "[a-zA-Z]*.raw",
     charset: str = "iso8859_7",
 ) -> DataFrame:
     """``(doc_id, label, text)`` from a directory tree of raw article files.
 
     Several paths are chained into one corpus. Newlines and U+0096 become spaces; files whose
-    name does not start with a letter are skipped (before their content is read, because the
-    label depends on the path alone). ``doc_id`` is the path: unique without any global numbering.
+    name does not start with a letter have no label and are passed over by the glob when the
+    tree is listed. ``doc_id`` is the path: unique without any global numbering.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = (
