@@ -32,6 +32,26 @@ def blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTES) ->
             start = stop
 
 
+def translation(lower: bool = False, apart: list[int] = ()) -> np.ndarray:
+    """Byte table: A-Z in lower case if ``lower``, the bytes of ``apart`` as spaces."""
+    table = np.arange(256, dtype=np.uint8)
+    if lower:
+        table[65:91] += 32
+    table[list(apart)] = 32
+    return table
+
+
+LOWER = translation(lower=True)
+
+
+def translated(column: pa.Array, table: np.ndarray) -> pa.Array:
+    """Texts with every byte replaced by ``table``, which must leave bytes above 127 alone."""
+    _, ends, data = column.cast(pa.string()).buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    changed = table[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]] if ends[-1] > ends[0] else b""
+    return pa.StringArray.from_buffers(len(column), pa.py_buffer(ends - ends[0]), pa.py_buffer(changed))
+
+
 class Words:
     """Words of a block of texts between ASCII white space, dictionary-coded.
 
@@ -39,9 +59,9 @@ class Words:
     document's first word in ``codes`` (and the end of the last).
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
-        if lower:
-            column = pc.ascii_lower(column)
+    def __init__(self, column: pa.Array, table: np.ndarray | None = None):
+        if table is not None:
+            column = translated(column, table)
         lists = pc.ascii_split_whitespace(column)
         flat = lists.flatten()
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()

@@ -25,6 +25,18 @@ def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_sums(histogram(_table(spark, sf_dir, "documents"), public_tokenizer()))
 
 
+def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.positional_index import decontaminate
+
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h.position, h.position + h.length - 1))))
+    items = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h.item_id.cast("string"))))
+    return found.select(
+        "doc_id", "n_words", F.size(hit).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
