@@ -19,6 +19,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_table(spark, sf_dir, "documents"), public_tokenizer())
 
 
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.toxicity import fit
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = fit(docs, labels.where(~held_out)).score(docs)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence",
+    )
+
+
 def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.length_histogram import histogram, length_sums
 
