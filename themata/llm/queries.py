@@ -19,6 +19,13 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_table(spark, sf_dir, "documents"), public_tokenizer())
 
 
+def op3_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.superkmer import remove_repeats
+
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.toxicity import fit
 
