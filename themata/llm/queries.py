@@ -19,6 +19,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_table(spark, sf_dir, "documents"), public_tokenizer())
 
 
+def op2_grouped_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.superkmer import remove_repeats
 
