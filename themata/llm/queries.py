@@ -32,6 +32,15 @@ def op3_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.pii import BASE, annotate, fit, listed
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = annotate(docs, fit(docs))
+    counts = [F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE)]
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.toxicity import fit
 
