@@ -41,6 +41,12 @@ def op4_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op5_small_world_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.hnsw import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.toxicity import fit
 
