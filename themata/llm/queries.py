@@ -47,6 +47,16 @@ def op5_small_world_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.quality import site_quality
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    path = F.concat_ws("/", "source", "lang")
+    scored = site_quality(docs, labels.where(~held_out), F.col("source"), path)
+    return scored.withColumn("keep", F.col("score") >= 0.5).withColumn("held_out", held_out)
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.toxicity import fit
 
