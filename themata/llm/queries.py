@@ -47,6 +47,14 @@ def op5_small_world_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.run_index import remove_repeats
+
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from themata.llm.quality import site_quality
 
