@@ -133,27 +133,10 @@ class ToxicityModel:
         schema = pa.schema([("id", pa.int64()), *fields, ("n_words", pa.int64()), ("evidence", pa.float64()), ("total", pa.float64()), ("segments", pa.list_(segment))])
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tokens, scores = shared.value
-            table, values = pa.array(tokens, pa.string()), np.array([*scores, QUIET])
             for block in blocks(batches):
-                words = Words(block.column(1), _APART)
-                at = [pc.index_in(t, table) for t in _tokens(words)]
-                by_word = values[pc.fill_null(pc.coalesce(*at), len(table)).to_numpy()]
-                marked = np.flatnonzero((by_word != QUIET)[words.codes])
-                score = by_word[words.codes[marked]]
-                docs = np.searchsorted(words.bounds, marked, side="right") - 1
-                cuts = np.searchsorted(docs, np.arange(block.num_rows + 1))
-                found: list[list] = []
-                best, total = np.zeros(block.num_rows), np.zeros(block.num_rows)
-                for d, n in enumerate(words.counts.tolist()):
-                    own = slice(cuts[d], cuts[d + 1])
-                    segments = maximal_segments((marked[own] - words.bounds[d]).tolist(), score[own].tolist())
-                    if segments:
-                        best[d] = decay * max(s for _, _, s in segments) - math.log(CHANCE * n)
-                        total[d] = decay * sum(s for _, _, s in segments)
-                    found.append([{"start": a, "stop": b, "score": s} for a, b, s in segments])
+                found = _scan(block.column(1), *shared.value, decay)
                 kept = [block.column(2 + i) for i in range(len(extra))]
-                yield record(schema, block.column(0), *kept, words.counts, best, total, found)
+                yield record(schema, block.column(0), *kept, *found)
 
         columns = "".join(f", {c} int" for c in extra)
         struct = "array<struct<start: long, stop: long, score: double>>"
@@ -165,6 +148,43 @@ class ToxicityModel:
         score = 1 / (1 + F.exp(-sum(F.lit(w) * x for w, x in zip(self.weights, _features()))))
         return found.select(F.col("id").alias("doc_id"), score.alias("score"), "evidence", "n_words", "segments")
 
+    def accepted(self, docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+        """The rows of ``docs``, with all their columns, whose score is below ``threshold``."""
+        shared = docs.sparkSession.sparkContext.broadcast((self.tokens, self.scores))
+        decay, weights, place = self.decay, self.weights, docs.columns.index(text_col)
+        limit = math.log(threshold / (1 - threshold))
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                text = pc.fill_null(batch.column(place), "")
+                n, best, total, found = _scan(text, *shared.value, decay)
+                features = [np.ones(len(n)), np.array([bool(f) for f in found], float), best, total, np.log1p(n)]
+                yield batch.filter(pa.array(sum(w * x for w, x in zip(weights, features)) < limit))
+
+        return docs.mapInArrow(keep, docs.schema)
+
+
+def _scan(column: pa.Array, tokens: list[str], scores: list[float], decay: float) -> tuple:
+    """Number of words, evidence, total and segments of each text."""
+    table, values = pa.array(tokens, pa.string()), np.array([*scores, QUIET])
+    words = Words(column, _APART)
+    at = [pc.index_in(t, table) for t in _tokens(words)]
+    by_word = values[pc.fill_null(pc.coalesce(*at), len(table)).to_numpy()]
+    marked = np.flatnonzero((by_word != QUIET)[words.codes])
+    score = by_word[words.codes[marked]]
+    docs = np.searchsorted(words.bounds, marked, side="right") - 1
+    cuts = np.searchsorted(docs, np.arange(len(column) + 1))
+    found: list[list] = []
+    best, total = np.zeros(len(column)), np.zeros(len(column))
+    for d, n in enumerate(words.counts.tolist()):
+        own = slice(cuts[d], cuts[d + 1])
+        segments = maximal_segments((marked[own] - words.bounds[d]).tolist(), score[own].tolist())
+        if segments:
+            best[d] = decay * max(s for _, _, s in segments) - math.log(CHANCE * n)
+            total[d] = decay * sum(s for _, _, s in segments)
+        found.append([{"start": a, "stop": b, "score": s} for a, b, s in segments])
+    return words.counts, best, total, found
+
 
 def maximal_segments(places: list[int], scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first word, word after the last, score) in one pass.
