@@ -1,28 +1,79 @@
-"""Corpus pipeline: stages that clean and pack the documents of a corpus."""
+"""Corpus pipeline: documents without toxic text, near copies, benchmark passages and personal data, packed.
+
+Each stage takes all its predecessor kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from themata.llm.packing import best_fit_packing
+from themata.cluster import broadcast_if_small, materialise
+from themata.llm import jaccard_join, packing, pii, positional_index, toxicity
 from themata.llm.tokens import public_tokenizer
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return best_fit_packing(docs, public_tokenizer())
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below 0.5, by the labels that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    return toxicity.fit(docs, labels).accepted(docs)
+
+
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by word 5-gram Jaccard similarity of 0.8, the one with the smallest id; of rows with
+    one id, the first by text. Documents without an id all stay."""
+    found = jaccard_join.near_duplicates(docs)
+    gone = materialise(found.where("component_id <> doc_id").select("doc_id").distinct())
+    left = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = materialise(repeated)
+    if repeated.isEmpty():
+        return left
+    several = left.join(broadcast_if_small(repeated), "doc_id", "left_semi").select(docs.columns)
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    one = several.withColumn("__place", F.row_number().over(first)).where("__place = 1").select(docs.columns)
+    return left.join(broadcast_if_small(repeated), "doc_id", "left_anti").select(docs.columns).unionAll(one)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no 10-word window of a benchmark item occurs."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    key = F.xxhash64("doc_id", "text")  # also tells rows without an id apart
+    found = positional_index.decontaminate(docs.select(key.alias("key"), "text"), benchmark, id_col="key")
+    hit = materialise(found.where(F.size("hits") > 0).select(F.col("doc_id").alias("key")).distinct())
+    return docs.withColumn("key", key).join(broadcast_if_small(hit), "key", "left_anti").select(docs.columns)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", packing)]
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with every span of personal data replaced by its kind; ``n_chars`` follows the text."""
+    found = pii.annotate(docs, pii.fit(docs), base="base_spans", spans="all_spans")
+    text = F.when(F.size("all_spans") > 0, pii.redact(F.col("text"), F.col("all_spans"))).otherwise(F.col("text"))
+    length = F.when(F.size("all_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    changed = {"text": text, "n_chars": length}
+    return found.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their sequence and offset."""
+    return packing.best_fit_packing(docs, public_tokenizer())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
+    ("ngram_jaccard_join", keep_one_of_group),
+    ("benchmark_decontamination", decontaminate),
+    ("pii", redact_personal_data),
+    ("best_fit_packing", pack),
+]
+
+#: Word shingles, tokenizer ids and learned models have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``; each result is stored before the next one reads it."""
-    from themata.cluster import materialise
-
+    """The stages applied to ``documents``; each result is stored before the next stage reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
