@@ -39,8 +39,8 @@ LABELLED = 20_000
 #: Slots of hashed tokens.
 SLOTS = 1 << 16
 
-#: Weight of the corpus prior, in tokens.
-PRIOR = 65_536.0
+#: Weight of the corpus prior, as a share of the labelled tokens.
+PRIOR = 0.08
 
 #: Fewest and most documents that a level's prior may weigh.
 LEAST, MOST = 1.0, 1e6
@@ -132,8 +132,9 @@ def fit_documents(docs: DataFrame, labels: DataFrame, label_col: str, id_col: st
         return DocumentModel(None, 0.0, 0.0, share)
     bad, good = _slot_counts(sample, True)
     corpus = _slot_counts(rows, False)[0]
-    prior = PRIOR * np.maximum(corpus, 0.5) / np.maximum(corpus, 0.5).sum()
-    share_of = lambda n: np.log((n + prior) / (n.sum() + PRIOR))
+    weight = PRIOR * (good.sum() + bad.sum())
+    prior = weight * np.maximum(corpus, 0.5) / np.maximum(corpus, 0.5).sum()
+    share_of = lambda n: np.log((n + prior) / (n.sum() + weight))
     model = DocumentModel(share_of(good) - share_of(bad), 0.0, 1.0, share)
     scored = model.evidence(sample, ["good"], "id", "text").toPandas()
     x = np.log(scored["p"] / (1 - scored["p"])).to_numpy()

@@ -2,7 +2,7 @@
 
 Tokens are the first five and the first four characters of words, so that inflected and compound forms share
 evidence. A token's log-odds between toxic and other labelled documents have a Dirichlet prior in proportion to
-its frequency in all documents (Monroe, Colaresi & Quinn 2008). Counts are of distinct neighbourhoods (word
+its document frequency in the whole corpus (Monroe, Colaresi & Quinn 2008). Counts are of distinct neighbourhoods (word
 before and after), so that copies of a document do not multiply evidence.
 
 A word scores the log-odds of its longest token that is significantly toxic, other words score ``QUIET``. One linear
@@ -44,8 +44,8 @@ TOKENS = 20_000
 #: Neighbourhoods in toxic documents that a token needs at least.
 SUPPORT = 3
 
-#: Weight of the prior, in words.
-PRIOR = 20_000.0
+#: Weight of the prior, as a share of the labelled words.
+PRIOR = 0.01
 
 #: Standard deviations that a token's log-odds must exceed 0.
 SIGNIFICANT = 3.0
@@ -92,7 +92,8 @@ def _neighbourhoods(labelled: DataFrame) -> DataFrame:
 
 
 def _corpus_counts(rows: DataFrame, tokens: list[str]) -> DataFrame:
-    """``(token, n)`` over all documents for ``tokens``; the null token has the number of words."""
+    """``(token, n)``: words of all documents with each of ``tokens``, by its place; the null token has all words.
+    A word counts once per document."""
     schema = pa.schema([("token", pa.int32()), ("n", pa.int64())])
     shared = rows.sparkSession.sparkContext.broadcast(tokens)
 
@@ -100,7 +101,11 @@ def _corpus_counts(rows: DataFrame, tokens: list[str]) -> DataFrame:
         table = pa.array(shared.value, pa.string())
         for block in blocks(batches):
             words = Words(block.column(1), _APART)
-            n = np.bincount(words.codes, minlength=len(words.vocabulary))
+            if not len(words.codes):
+                continue
+            doc = np.repeat(np.arange(block.num_rows), words.counts)
+            once = np.unique(doc * len(words.vocabulary) + words.codes)  # a word counts once per document
+            n = np.bincount(once % len(words.vocabulary), minlength=len(words.vocabulary))
             total = np.zeros(len(table) + 1)
             long, short = _tokens(words)
             # a word of at most four characters is one token, not two
@@ -262,8 +267,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     corpus = {r["token"]: r["n"] for r in _corpus_counts(rows, found["token"].tolist()).collect()}
     words = max(1, corpus.pop(None, 1))
     shares = np.array([max(corpus.get(i, 0), 1) / words for i in range(len(found))])
-    prior, t, c = PRIOR * shares, found["n_toxic"].to_numpy(float), found["n_clean"].to_numpy(float)
-    odds = lambda n, of: np.log((n + prior) / (of + PRIOR - n - prior))
+    weight = PRIOR * float(total["t"] + total["c"])
+    prior, t, c = weight * shares, found["n_toxic"].to_numpy(float), found["n_clean"].to_numpy(float)
+    odds = lambda n, of: np.log((n + prior) / (of + weight - n - prior))
     difference = odds(t, float(total["t"])) - odds(c, float(total["c"]))
     deviation = np.sqrt(1 / (t + prior) + 1 / (c + prior))
     significant = (difference >= EFFECT) & (difference >= SIGNIFICANT * deviation)
