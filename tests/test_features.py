@@ -141,3 +141,38 @@ def test_variance_with_absent_classes(spark):
     tf = spark.createDataFrame([("a", "x", 0.5), ("b", "x", 0.1), ("a", "y", 0.25)], "label string, term string, tf double")
     got = {r["term"]: r["var"] for r in D.class_variance(tf, 3).collect()}
     assert got == pytest.approx({"x": np.var([0.5, 0.1, 0]), "y": np.var([0.25, 0, 0])})
+
+
+def test_lists_of_every_size_act_alike(spark, monkeypatch):
+    """Look-up in the row and join give the same rows, also with repeated and null ids and null labels."""
+    from themata.operators import ngrams, preprocess
+    from themata.plans import features
+
+    rows = [(1, "x", ["A", "B", "C"]), (1, "y", ["C", "C"]), (None, "x", ["D", "B"]), (2, None, ["A"]), (3, "y", [])]
+    tokens = spark.createDataFrame(rows, "doc_id long, label string, tokens array<string>").coalesce(2)
+    words = spark.createDataFrame([("B",), ("D",)], "term string")
+    kept = spark.createDataFrame([("A B",), ("C C",)], "term string")
+
+    def results():
+        model = features.FeatureModel.fit(tokens, n_dims=3)
+        return [
+            sorted(map(str, df.collect()))
+            for df in (
+                preprocess.drop_stopwords(tokens, words), preprocess.mark_lexicon(tokens, words),
+                ngrams.append_bigrams(tokens, kept, 2), model.counts(tokens),
+            )
+        ]
+
+    inline = results()
+    monkeypatch.setattr(preprocess, "inline_terms", lambda terms: None)
+    monkeypatch.setattr(ngrams, "INLINE_TERMS", 0)
+    monkeypatch.setattr(features, "INLINE_TERMS", 0)
+    assert results() == inline
+
+
+def test_small_variances_are_told_apart(spark):
+    from themata.operators.dictionary import select_terms
+
+    rows = [("a", 1e-20), ("b", 3e-20), ("c", 0.0), ("d", 2e-3), ("e", 3e-20 * (1 + 1e-14))]
+    found = select_terms(spark.createDataFrame(rows, "term string, var double"), 4)
+    assert [r["term"] for r in found.collect()] == ["d", "b", "e", "a"]

@@ -260,6 +260,9 @@ def test_compare_models_and_single_run(spark):
     scores = experiments.compare_models(tokens, 2, labels.hash_fold("doc_id", 2), models, **chain)
     means = {r["method"]: r["accuracy"] for r in experiments.fold_means(scores).collect()}
     assert set(means) == {"NB", "MEAN", "KNN"} and min(means.values()) > 0.8
+    twice = [{"method": "MEAN", "metric": m} for m in ("euclidean", "cosine")]
+    scores = experiments.compare_models(tokens, 2, labels.hash_fold("doc_id", 2), twice, **chain)
+    assert scores.count() == 4 and experiments.fold_means(scores).count() == 2
     single = experiments.single_run(tokens.where("doc_id < 40"), tokens.where("doc_id >= 40"), {"method": "MEAN", "metric": "euclidean"},
                                     reduction="LDA", **chain)
     assert single > 0.8

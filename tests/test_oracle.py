@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
+from themata.checks.queries import QUERIES
 
 SLOW = {"gmm_full", "gmm_diag", "svm_linear", "svm_rbf", "svm_poly", "mlp", "random_forest"}
 
@@ -32,9 +33,9 @@ def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, duck, name):
-    ours = entry.queries()[name](spark, SF).toPandas()
+    ours = QUERIES[name](spark, SF).toPandas()
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert len(ours) > 0

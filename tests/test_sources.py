@@ -79,3 +79,18 @@ def test_stage_store_models(spark, tmp_path):
     assert {r["label"]: r["label_idx"] for r in coded.collect()} == {"a": 0.0, "b": 1.0, "c": 2.0}
     back = decode_labels(coded.select(F.col("label_idx").alias("prediction")), first)
     assert sorted(r["label"] for r in back.collect()) == ["a", "b", "c"]
+
+
+def test_stage_depends_on_the_plan_and_is_whole(spark, tmp_path):
+    source = str(tmp_path / "rows")
+    spark.range(20).write.parquet(source)
+    rows = spark.read.parquet(source)
+    part = rows.where("id % 5 <> 0")
+    store = StageStore(spark, str(tmp_path / "store"))
+    assert store.table("rows", lambda: rows, inputs=input_fingerprint(rows)).count() == 20
+    assert store.table("rows", lambda: part, inputs=input_fingerprint(part)).count() == 16
+    assert input_fingerprint(rows) == input_fingerprint(spark.read.parquet(source))
+    half = store.path("half", {}, None)
+    spark.range(3).write.parquet(half)
+    (tmp_path / "store" / "stage" / half.rsplit("/", 1)[1] / "_SUCCESS").unlink()
+    assert store.table("half", lambda: spark.range(7)).count() == 7

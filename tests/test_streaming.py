@@ -13,7 +13,7 @@ def test_fitted_chain_on_a_stream(spark, corpus, tmp_path):
     corpus.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(corpus.schema).parquet(str(tmp_path / "in"))
     out = str(tmp_path / "out")
-    writer = score_stream(stream, model, reducer, classifier, lambda df: df.write.mode("append").parquet(out))
+    writer = score_stream(stream, model, reducer, classifier, lambda df, number: df.write.mode("overwrite").parquet(f"{out}/batch={number}"))
     query = writer.option("checkpointLocation", str(tmp_path / "cp")).start()
     query.processAllAvailable()
     query.stop()

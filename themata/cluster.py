@@ -96,14 +96,24 @@ def with_dense_id(df: DataFrame, order_by: list[str], id_col: str, partitions: i
     )
 
 
+#: Scans of at most so many bytes may be dealt anew to use all cores.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Give a scan of very few files enough tasks; larger inputs pass untouched, without a shuffle.
+    """Give a scan of a few megabytes enough tasks; larger inputs pass untouched, without a shuffle.
 
-    A single small parquet file is one row group, hence one busy task for all the text work. On a
-    cluster the scan has far more splits than cores and nothing happens here.
+    A single small parquet file is one row group, hence one busy task for all the text work. The size is
+    Catalyst's estimate of the scan, so an input of more than ``SPREAD_BYTES`` never meets this shuffle.
     """
-    wanted = per_core * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(per_core * df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df
+
+
+def keyed_rows(df: DataFrame, name: str = "__row") -> DataFrame:
+    """``df`` as a stage table with a number of its own for each row, for operators that take rows apart and
+    put them together again; keys of the caller may repeat or be null."""
+    return materialise(df.withColumn(name, F.monotonically_increasing_id()))
 
 
 def unnest(df: DataFrame, keep: list, array: str | Column, name: str = "item", pos: str | None = None) -> DataFrame:

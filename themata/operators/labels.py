@@ -6,6 +6,8 @@ from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from themata.cluster import with_dense_id
+
 
 def fit_labels(df: DataFrame, label: str = "label", unseen: str = "error") -> PipelineModel:
     """Label to code (alphabetical order) and one-hot vector, fixed by the rows it is fitted on."""
@@ -27,10 +29,15 @@ def decode_labels(df: DataFrame, encoder: PipelineModel, code: str = "prediction
 def split_at(df: DataFrame, threshold: int, key: str = "doc_id") -> DataFrame:
     """Add ``split``: the first ``threshold`` rows by ``key`` are train, the rest test.
 
-    The boundary is the ``threshold``-th key, a top-k and a scalar subquery, not a global window.
+    Rows are numbered in range partitions with one count per partition on the driver, so no task holds more
+    than its range. Rows with equal keys at the boundary all are train; a null key is test.
     """
-    boundary = df.select(key).orderBy(key).limit(threshold).agg(F.max(key)).scalar()
-    return df.withColumn("split", F.when(F.col(key) <= boundary, "train").otherwise("test"))
+    keys = df.select(key).where(F.col(key).isNotNull())
+    numbered = with_dense_id(keys, [key], "__number")
+    boundary = numbered.where(F.col("__number") < threshold).agg(F.max(key)).first()[0]
+    if boundary is None:
+        return df.withColumn("split", F.lit("test"))
+    return df.withColumn("split", F.when(F.col(key) <= F.lit(boundary), "train").otherwise("test"))
 
 
 def hash_fold(key: str | Column, k: int, seed: int = 0) -> Column:

@@ -141,9 +141,10 @@ def _fit_ml(df: DataFrame, estimator, column: str, label: str) -> MLModel:
     return MLModel(estimator.fit(coded), values)
 
 
-def fit_forest(df: DataFrame, n_estimators: int = 35, seed: int = 0, column="features", label="label") -> MLModel:
+def fit_forest(df: DataFrame, n_estimators: int = 35, max_depth: int = 30, seed: int = 0, column="features", label="label") -> MLModel:
+    """Random forest. Trees grow to ``max_depth`` levels; 30 is the most that Spark allows."""
     forest = RandomForestClassifier(numTrees=n_estimators, seed=seed, featuresCol="__v", labelCol="label_idx",
-                                    predictionCol="__p", maxDepth=12)
+                                    predictionCol="__p", maxDepth=max_depth)
     return _fit_ml(df, forest, column, label)
 
 

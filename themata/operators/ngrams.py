@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from themata.cluster import INLINE_TERMS, materialise, unnest
+from themata.cluster import INLINE_TERMS, keyed_rows, materialise, unnest
 from themata.functions.arrays import pairs
 from themata.functions.text import keep_terms
 
@@ -71,15 +71,16 @@ def append_bigrams(tokens: DataFrame, kept: DataFrame, n: int) -> DataFrame:
         named = F.transform(pairs(F.col("tokens")), lambda p: F.concat_ws(" ", p["w1"], p["w2"]))
         found = tokens.withColumn("__pairs", named).withColumn("__pairs", keep_terms("__pairs", terms))
         return found.withColumn("tokens", F.concat("tokens", "__pairs")).drop("__pairs")
+    rows = keyed_rows(tokens)
+    listed = unnest(rows, ["__row"], pairs(F.col("tokens")), "pair", "pos")
     found = (
-        bigrams(tokens)
-        .select("doc_id", "pos", F.concat_ws(" ", "w1", "w2").alias("term"))
+        listed.select("__row", "pos", F.concat_ws(" ", "pair.w1", "pair.w2").alias("term"))
         .join(kept.select("term"), "term", "left_semi")
-        .groupBy("doc_id")
+        .groupBy("__row")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("__found"))
     )
     extra = F.coalesce(F.col("__found.term"), F.array().cast("array<string>"))
-    joined = tokens.join(found, "doc_id", "left").withColumn("tokens", F.concat("tokens", extra))
+    joined = rows.join(found, "__row", "left").withColumn("tokens", F.concat("tokens", extra))
     return joined.select(tokens.columns)
 
 

@@ -4,43 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from themata.cluster import unnest
+from themata.cluster import INLINE_TERMS, keyed_rows, unnest
 from themata.functions import text as T
 from themata.functions.greek import stem_tokens
 from themata.sources.lexicon import inline_terms
 
 
-def drop_stopwords(df: DataFrame, stopwords: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
+def drop_stopwords(df: DataFrame, stopwords: DataFrame, column: str = "tokens") -> DataFrame:
     """Drop the tokens that a lexicon lists. A lexicon of bounded size becomes a hash look-up per
     token; a larger one is anti-joined on the exploded tokens."""
     terms = inline_terms(stopwords)
     if terms is not None:
         return df.withColumn(column, T.drop_terms(column, terms))
-    exploded = unnest(df, [key], column, "token", "pos")
+    rows = keyed_rows(df)
+    exploded = unnest(rows, ["__row"], column, "token", "pos")
     kept = exploded.join(stopwords.select(F.col("term").alias("token")).distinct(), "token", "left_anti")
-    return _regroup(df, kept, key, column)
+    return _regroup(rows, kept, column).select(df.columns)
 
 
 def mark_lexicon(
-    df: DataFrame, lexicon: DataFrame, key: str = "doc_id", column: str = "tokens", constant: str = T.COUNTRY_CONST
+    df: DataFrame, lexicon: DataFrame, column: str = "tokens", constant: str = T.COUNTRY_CONST
 ) -> DataFrame:
     """Replace the tokens that a lexicon lists by one placeholder."""
     terms = inline_terms(lexicon)
     if terms is not None:
         return df.withColumn(column, T.mark_terms(column, terms, constant))
-    exploded = unnest(df, [key], column, "token", "pos")
+    rows = keyed_rows(df)
+    exploded = unnest(rows, ["__row"], column, "token", "pos")
     listed = lexicon.select(F.col("term").alias("token"), F.lit(True).alias("__listed")).distinct()
     marked = exploded.join(listed, "token", "left").withColumn(
         "token", F.when(F.col("__listed"), F.lit(constant)).otherwise(F.col("token"))
     )
-    return _regroup(df, marked, key, column)
+    return _regroup(rows, marked, column).select(df.columns)
 
 
-def _regroup(df: DataFrame, exploded: DataFrame, key: str, column: str) -> DataFrame:
-    """Put the tokens of each document back into an array (never longer than the one it had)."""
-    grouped = exploded.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("__list"))
+def _regroup(rows: DataFrame, exploded: DataFrame, column: str) -> DataFrame:
+    """Put the tokens of each row back into an array (never longer than the one it had)."""
+    grouped = exploded.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("__list"))
     tokens = F.coalesce(F.col("__list.token"), F.array().cast("array<string>"))
-    return df.drop(column).join(grouped, key, "left").withColumn(column, tokens).drop("__list").select(df.columns)
+    return rows.drop(column).join(grouped, "__row", "left").withColumn(column, tokens)
 
 
 def preprocess(
@@ -60,6 +62,8 @@ def preprocess(
     """
 
     def filtered(df: DataFrame, words, by_join, by_value) -> DataFrame:
+        if not isinstance(words, DataFrame) and len(words) > INLINE_TERMS:
+            words = df.sparkSession.createDataFrame([(w,) for w in set(words)], "term string")
         if isinstance(words, DataFrame):
             return by_join(df, words)
         return df.withColumn("tokens", by_value("tokens", words))

@@ -8,7 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -55,12 +54,15 @@ def class_means(df: DataFrame, column: str = "features", label: str = "label") -
 
 
 def fit_pca(df: DataFrame, k: int, column: str = "features") -> Projection:
-    """Centred PCA. Spark's ``PCA`` finds the loadings from the centred covariance but projects raw
-    rows; here the mean is taken off after the product, so sparse rows stay sparse."""
+    """Centred PCA: eigenvectors of the covariance, which tasks sum and the driver (width x width) decomposes.
+    The mean is taken off after the product, so sparse rows stay sparse."""
     vectors = df.select(as_vector(df, column).alias("v"))
     mean = vectors.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()
-    model = PCA(k=min(k, len(mean)), inputCol="v", outputCol="p").fit(vectors)
-    return Projection(fixed_signs(model.pc.toArray()), mean, model.explainedVariance.toArray())
+    values, axes = np.linalg.eigh(covariance(df, column))
+    k = min(k, len(mean))
+    values = np.maximum(values[::-1], 0.0)
+    total = values.sum()
+    return Projection(fixed_signs(axes[:, ::-1][:, :k]), mean, values[:k] / total if total else values[:k])
 
 
 def fit_svd(df: DataFrame, k: int, column: str = "features") -> Projection:

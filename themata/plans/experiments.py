@@ -29,7 +29,7 @@ class KNNModel:
     def predict(self, df: DataFrame, column: str = "features") -> DataFrame:
         test = df.select("id", F.col(column).alias("features"))
         found = neighbours.knn_predict(self.train, test, self.n_neighbors, self.metric, self.covariance)
-        return df.join(found, "id")
+        return df.join(found, "id", "left")
 
 
 def _fit_knn(df: DataFrame, n_neighbors: int = 5, metric="euclidean", V=None) -> KNNModel:
@@ -98,7 +98,7 @@ def parameter_grid(train: DataFrame, test: DataFrame, grid: list[dict], threads:
 
 
 def grids() -> dict[str, list[dict]]:
-    """The swept parameter sets per method."""
+    """The swept parameter sets per method (fixed values)."""
     counts, forest = range(1, 30), range(20, 80, 3)
     return {
         "KNN": [{"method": "KNN", "metric": m, "n_neighbors": n}
@@ -111,7 +111,7 @@ def grids() -> dict[str, list[dict]]:
 
 
 def all_models() -> list[dict]:
-    """One parameter set per classifier, for the comparison of all models."""
+    """One parameter set per classifier, for the comparison of all models (fixed values)."""
     return [
         {"method": "NB"},
         {"method": "SVM", "kernel": "rbf", "C": 1.5},
@@ -123,20 +123,22 @@ def all_models() -> list[dict]:
     ]
 
 
-def k_fold(df: DataFrame, k: int, fold: Column, fit_and_score: Callable[[DataFrame, DataFrame], dict]) -> DataFrame:
-    """``(fold, method, accuracy)``; ``fit_and_score(train, test)`` returns accuracies by method and
-    sees nothing of the test part while fitting."""
+def k_fold(df: DataFrame, k: int, fold: Column, fit_and_score: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """The rows of a parameter grid with their ``fold``; ``fit_and_score(train, test)`` returns them and sees
+    nothing of the test part while fitting."""
     rows = materialise(df.withColumn("__fold", fold))
     out = []
     for number in range(k):
         train = rows.where(F.col("__fold") != number).drop("__fold")
         test = rows.where(F.col("__fold") == number).drop("__fold")
-        out += [(number, method, float(score)) for method, score in fit_and_score(train, test).items()]
-    return df.sparkSession.createDataFrame(out, "fold int, method string, accuracy double")
+        out += [(number, *row) for row in fit_and_score(train, test).collect()]  # one row per parameter set
+    return df.sparkSession.createDataFrame(out, f"fold int, {GRID_SCHEMA}")
 
 
 def fold_means(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("method").agg(F.avg("accuracy").alias("accuracy"))
+    """Mean accuracy of each parameter set over the folds."""
+    named = scores.groupBy("run_id", "method", F.array_sort(F.map_entries("params")).alias("params"))
+    return named.agg(F.avg("accuracy").alias("accuracy")).withColumn("params", F.map_from_entries("params"))
 
 
 def text_vectors(train: DataFrame, test: DataFrame, n_dims: int = 3000, n_bigrams: int = 0, bigram_min_freq: int = 5,
@@ -155,9 +157,8 @@ def compare_models(tokens: DataFrame, k: int, fold: Column, models: list[dict] |
     """K-fold comparison: per fold the whole chain is fitted on the training part, then every model."""
     chosen = models or all_models()
 
-    def fit_and_score(train: DataFrame, test: DataFrame) -> dict:
-        a, b = text_vectors(train, test, **chain)
-        return {r["method"]: r["accuracy"] for r in parameter_grid(a, b, chosen, threads).collect()}
+    def fit_and_score(train: DataFrame, test: DataFrame) -> DataFrame:
+        return parameter_grid(*text_vectors(train, test, **chain), chosen, threads)
 
     return k_fold(tokens, k, fold, fit_and_score)
 

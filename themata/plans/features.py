@@ -11,7 +11,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from themata.cluster import INLINE_TERMS, materialise
+from themata.cluster import INLINE_TERMS, broadcast_if_small, keyed_rows, materialise, unnest
 from themata.functions.arrays import bag
 from themata.functions.text import keep_terms
 from themata.operators import dictionary as D
@@ -46,7 +46,7 @@ class FeatureModel:
         bigram_min_freq: int = 3,
         method: str = "none",
     ) -> "FeatureModel":
-        """Fit on ``(doc_id, label, tokens)``. Two jobs over the text (three with bigrams): the class
+        """Fit on ``(doc_id, label, tokens)``; rows with a null label are left out. Two jobs over the text (three with bigrams): the class
         counts, and for the entropy transform the column sums."""
         if method not in TRANSFORMS:
             raise ValueError(f"no such transform: {method}")
@@ -54,6 +54,7 @@ class FeatureModel:
         if n_bigrams > 0:
             kept = fit_bigrams(tokens, n_bigrams, bigram_min_freq)
             tokens = append_bigrams(tokens, kept, n_bigrams)
+        tokens = tokens.where(F.col(label).isNotNull())  # a document without a class cannot train
         by_label = materialise(D.label_terms(tokens, label))
         sizes = {r["label"]: r["n_docs"] for r in D.label_set(tokens, label).collect()}
         n_docs = sum(sizes.values())
@@ -81,16 +82,18 @@ class FeatureModel:
         return self._counts(self._with_bigrams(tokens))
 
     def _counts(self, tokens: DataFrame) -> DataFrame:
-        words = F.broadcast(self.selected.select("term", "term_id", "idf"))  # at most n_dims rows
+        words = broadcast_if_small(self.selected.select("term", "term_id", "idf"))
         if self.n_dims <= INLINE_TERMS:
             terms = [r["term"] for r in self.vocabulary()]
             known = tokens.select("doc_id", keep_terms("tokens", terms).alias("tokens"))
             sized = known.select("doc_id", F.size("tokens").alias("total"), bag(F.col("tokens")).alias("bag"))
             found = D.explode_bags(sized).join(words, "term")
         else:
-            found = D.explode_bags(D.bags(tokens.select("doc_id", "tokens"))).join(words, "term")
-            totals = found.groupBy("doc_id").agg(F.sum("n").alias("total"))
-            found = found.join(totals, "doc_id")
+            rows = keyed_rows(tokens.select("doc_id", bag(F.col("tokens")).alias("bag")))
+            listed = unnest(rows, ["__row", "doc_id"], "bag", "entry")
+            found = listed.select("__row", "doc_id", "entry.term", "entry.n").join(words, "term")
+            totals = found.groupBy("__row").agg(F.sum("n").alias("total"))
+            found = found.join(totals, "__row")
         return found.select("doc_id", "term_id", "n", "total", "idf")
 
     def tf(self, tokens: DataFrame) -> DataFrame:

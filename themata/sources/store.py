@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -40,10 +41,12 @@ class StageStore:
         """The stored table of this stage, built and written first if it is not there yet."""
         path = self.path(stage, params or {}, inputs)
         if self._may_reload(parsing):
-            try:
+            try:  # the marker is written last, so a half-written stage is built anew
+                self.spark.read.format("binaryFile").load(f"{path}/_SUCCESS").count()
                 return self.spark.read.parquet(path)
-            except AnalysisException:
-                pass  # not stored yet
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
         build().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
@@ -62,8 +65,12 @@ class StageStore:
 
 
 def input_fingerprint(df: DataFrame) -> list:
-    """Schema, number of files and a hash of their paths, sizes and times, without reading their rows."""
+    """Schema, analysed plan, number of files and a hash of their paths, sizes and times, without reading rows.
+
+    The plan tells filters and expressions apart; numbers that Spark gives anew each time are taken out.
+    """
+    plan = re.sub(r"#\d+L?|plan_id=\d+", "", df._jdf.queryExecution().analyzed().toString())
     files = df.sparkSession.read.format("binaryFile").load(df.inputFiles())
     marks = F.xxhash64("path", "length", "modificationTime")
     row = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(marks).alias("mark")).first()
-    return [df.schema.simpleString(), row["n"], row["mark"]]
+    return [df.schema.simpleString(), plan, row["n"], row["mark"]]

@@ -28,12 +28,13 @@ def score_stream(
     features: FeatureModel,
     reducer: Projection | None,
     classifier,
-    write: Callable[[DataFrame], None],
+    write: Callable[[DataFrame, int], None],
     **lexicons,
 ) -> DataStreamWriter:
-    """Score every micro-batch of ``docs`` and hand the rows to ``write``."""
+    """Score every micro-batch of ``docs`` and hand its rows and number to ``write``. After a failure a batch comes
+    again with its number, by which ``write`` can replace what it wrote before."""
 
-    def on_batch(batch: DataFrame, _: int) -> None:
-        write(score(batch, features, reducer, classifier, **lexicons))
+    def on_batch(batch: DataFrame, number: int) -> None:
+        write(score(batch, features, reducer, classifier, **lexicons), number)
 
     return docs.writeStream.foreachBatch(on_batch)
