@@ -10,7 +10,8 @@ A document is the set of its distinct shingles of ``SHINGLE`` words. Shingles ha
    fitting size, and each class with the first of its own group; parity bitmaps (a lower bound of the difference)
    drop most pairs, the rest is verified on the texts.
 3. Lists that now lie in one component can add nothing. In the others the groups are expanded to their classes,
-   and pairs from different components that pass size and bitmap are verified. Long lists are dealt in blocks.
+   and pairs from different components that pass size and bitmap are verified: first as many as would join them,
+   then all pairs between components that are left. Long lists are dealt in blocks.
 
 So a large group of near copies costs about one verification per member and list, never all its pairs, while no
 component misses a link. Shingles are compared as 64-bit hashes, equal sets as 128 bits.
@@ -100,9 +101,10 @@ def frequency_class(counts: np.ndarray) -> np.ndarray:
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
-    """Parity of the number of shingles per slot; about as many slots as half the shingles, 64 or more."""
+    """Parity of the number of shingles per slot; two to four slots for each shingle, so that few differences
+    share one and the bound is close."""
     size = 64
-    while 2 * size < len(hashes):
+    while size < 2 * len(hashes):
         size *= 2
     bits = np.bincount((hashes >> np.uint64(32) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
@@ -234,8 +236,11 @@ def _open_lists(lists: DataFrame, classes: DataFrame, found: DataFrame) -> DataF
     return spread.join(spans.where("low <> high and n_list > 2").select("key", "n_list"), "key")
 
 
-def _block_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components within each list, by size and bitmap; blocks of a list meet pairwise."""
+def _block_pairs(members: DataFrame, spanning: bool) -> DataFrame:
+    """Pairs of different components within each list, by size and bitmap; blocks of a list meet pairwise.
+
+    With ``spanning``, pairs that would only join what other pairs of the block already join are left out.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
@@ -246,7 +251,8 @@ def _block_pairs(members: DataFrame) -> DataFrame:
         tables = {w: np.stack([bits[i] for i in np.flatnonzero(widths == w)]) for w in set(widths.tolist())}
         places = {w: np.flatnonzero(widths == w) for w in tables}
         right = parts == parts.max()  # the block at hand, or the second one of two
-        out = set()
+        groups = np.unique(groups, return_inverse=True)[1]
+        firsts, seconds = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in np.flatnonzero(parts == parts.min()).tolist():
             for width, others in tables.items():
                 own, at = bits[i], places[width]
@@ -256,8 +262,15 @@ def _block_pairs(members: DataFrame) -> DataFrame:
                     others = np.bitwise_xor.reduce(others.reshape(len(others), -1, len(own)), axis=1)
                 ok = right[at] & (groups[at] != groups[i]) & (5 * sizes[at] >= 4 * sizes[i]) & (5 * sizes[i] >= 4 * sizes[at])
                 ok[ok] = 9 * np.bitwise_count(others[ok] ^ own).sum(axis=1, dtype=np.int64) <= sizes[i] + sizes[at[ok]]
-                out.update((min(ids[i], j), max(ids[i], j)) for j in ids[at[ok]].tolist())
-        return pa.Table.from_batches([record(schema, [int(p[0]) for p in out], [int(p[1]) for p in out])])
+                near = at[ok]
+                if spanning and len(near):  # one pair per component met, all of which are one from now on
+                    met, once = np.unique(groups[near], return_index=True)
+                    near = near[once]
+                    groups[np.isin(groups, met)] = groups[i]
+                firsts.append(np.minimum(ids[i], ids[near]))
+                seconds.append(np.maximum(ids[i], ids[near]))
+        pairs = np.unique(np.stack([np.concatenate(firsts), np.concatenate(seconds)], axis=1), axis=0)
+        return pa.Table.from_batches([record(schema, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
 
     parts = F.ceil(F.col("n_list") / LIST_BLOCK)
     dealt = members.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
@@ -288,12 +301,14 @@ def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = components(first)
 
     of_groups = classes.where("size > 1").groupBy(F.col("p1").alias("key"), "member").agg(F.count("*").alias("c")).select("key", "member")
-    members = _open_lists(lists.select("key", "member").unionAll(of_groups), classes, found)
-    members = members.join(bitmaps, "id")
-    second = materialise(verified(_block_pairs(members), rows))
+    lists = lists.select("key", "member").unionAll(of_groups)
+    for spanning in (True, False):  # after the first round nearly all that links hangs together
+        members = _open_lists(lists, classes, found).join(bitmaps, "id")
+        first = materialise(first.unionAll(verified(_block_pairs(members, spanning), rows)))
+        found = components(first)
     # rows that share an id tie their classes, rows of a class tie their ids
     ties = signed.select("id", "d1", "d2").join(classes.select(F.col("id").alias("b"), "d1", "d2"), ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b")
-    edges = first.unionAll(second).unionAll(ties)
+    edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ties)
     return every, components(edges)
 
 

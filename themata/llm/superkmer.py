@@ -39,7 +39,7 @@ MERS = 3
 #: Bytes of input text per bucket; its super-k-mers hold about three times as many.
 BUCKET_BYTES = 4 << 20
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.array([0x9E3779B97F4A7C15], np.uint64)  # an array, as these products are meant to wrap around
 
 _PACKED = pa.schema([
     ("bucket", pa.int64()), ("strings", pa.binary()), ("docs", pa.binary()), ("digests", pa.binary()), ("starts", pa.binary()), ("runs", pa.binary()),
