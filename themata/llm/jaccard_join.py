@@ -237,11 +237,12 @@ def _open_lists(lists: DataFrame, classes: DataFrame, found: DataFrame) -> DataF
 
 
 def _block_pairs(members: DataFrame, spanning: bool) -> DataFrame:
-    """Pairs of different components within each list, by size and bitmap; blocks of a list meet pairwise.
+    """``(key, a, b)``: pairs of different components within each list, by size and bitmap; blocks of a list meet
+    pairwise.
 
     With ``spanning``, pairs that would only join what other pairs of the block already join are left out.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
         columns = table.select(["id", "component", "n", "bits", "part"]).to_pydict()
@@ -270,12 +271,13 @@ def _block_pairs(members: DataFrame, spanning: bool) -> DataFrame:
                 firsts.append(np.minimum(ids[i], ids[near]))
                 seconds.append(np.maximum(ids[i], ids[near]))
         pairs = np.unique(np.stack([np.concatenate(firsts), np.concatenate(seconds)], axis=1), axis=0)
-        return pa.Table.from_batches([record(schema, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
+        key = np.full(len(pairs), table["key"][0].as_py())
+        return pa.Table.from_batches([record(schema, key, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
 
     parts = F.ceil(F.col("n_list") / LIST_BLOCK)
     dealt = members.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     dealt = dealt.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.groupBy("key", "low", "high").applyInArrow(compare, "key long, a long, b long")
 
 
 def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -304,8 +306,11 @@ def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = lists.select("key", "member").unionAll(of_groups)
     for spanning in (True, False):  # after the first round nearly all that links hangs together
         members = _open_lists(lists, classes, found).join(bitmaps, "id")
-        first = materialise(first.unionAll(verified(_block_pairs(members, spanning), rows)))
+        pairs = materialise(_block_pairs(members, spanning))
+        first = materialise(first.unionAll(verified(pairs.select("a", "b").distinct(), rows)))
         found = components(first)
+        # a list without any pair has none between what its components become either
+        lists = lists.join(pairs.select("key").distinct(), "key", "left_semi")
     # rows that share an id tie their classes, rows of a class tie their ids
     ties = signed.select("id", "d1", "d2").join(classes.select(F.col("id").alias("b"), "d1", "d2"), ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b")
     edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ties)

@@ -184,21 +184,25 @@ class RunIndex:
     def intervals(self, text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, depth: int) -> np.ndarray:
         """For each place of the given strings the first rotation with its ``depth`` symbols; -1 near their ends.
 
-        All strings are streamed at once, backwards: shrink to depth - 1 symbols, extend by one.
+        All strings are streamed at once, backwards: shrink to depth - 1 symbols, extend by one. As every string
+        stands in the text, intervals are never empty and their first rotation says it all. Long strings are
+        streamed as pieces that overlap by a window, so that few stragglers do not prolong the walk.
         """
         found = np.full(len(text), -1, np.int64)
+        stride = 3 * depth
+        pieces = np.maximum(1, -(-(lengths - depth + 1) // stride))
+        starts, ends = np.repeat(starts, pieces) + stride * steps(pieces), np.repeat(starts + lengths, pieces)
+        lengths = np.minimum(ends - starts, stride + depth - 1)
         order = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[order], lengths[order]
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
+        low = np.zeros(len(starts), np.int64)
         for step in range(int(lengths[0]) if len(lengths) else 0):
-            active = int(np.searchsorted(-lengths, -step, side="left"))  # strings longer than ``step``
-            l, h = low[:active], high[:active]
+            active = int(np.searchsorted(-lengths, -step, side="left"))  # pieces longer than ``step``
+            first = low[:active]
             if step >= depth:
-                at = np.searchsorted(self.parted, l, side="right")
-                l, h = self.parted[at - 1], self.parted[at]
+                first = self.parted[np.searchsorted(self.parted, first, side="right") - 1]
             place = starts[:active] + lengths[:active] - 1 - step
-            symbol = text[place].astype(np.int64)
-            low[:active], high[:active] = self.count(symbol, l), self.count(symbol, h)
+            low[:active] = self.count(text[place].astype(np.int64), first)
             if step >= depth - 1:
                 found[place] = low[:active]
         return found
