@@ -511,7 +511,7 @@ QUERIES = {
     "centroid_mahalanobis": centroid("mahalanobis"),
     "gnb_fit": gnb_fit,
     "gnb_predict": predictions(centroids.fit_gnb),
-    "gmm_full": on_documents("GMM", covariance_type="full", n_components=5),
+    "gmm_full": on_documents("GMM", covariance_type="full", n_components=1),
     "gmm_diag": on_documents("GMM", covariance_type="diag", n_components=11),
     "random_forest": on_documents("RandomForest", n_estimators=35),
     "svm_linear": on_documents("SVM", kernel="linear"),
