@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from themata.checks.queries import QUERIES
 from themata.operators import centroids, labels, learners, mixture, neighbours, reduce
 from themata.operators.evaluate import accuracy, score_labels, score_series
 from themata.plans import experiments
@@ -197,6 +198,24 @@ def test_full_mixture(clusters):
     assert score(mixture.fit_gmm_full(clusters, n_components=1, max_iter=10), clusters) > 0.95
 
 
+def test_gmm_full_components_of_few_rows(spark):
+    """Components with fewer rows than dimensions stay regular and are told apart."""
+    rng = np.random.default_rng(5)
+    centres = {("a", 0): 0.0, ("a", 1): 8.0, ("b", 0): 4.0, ("b", 1): 12.0}
+    rows = [(label, (at + rng.normal(size=12)).tolist()) for (label, _), at in centres.items() for _ in range(9)]
+    df = spark.createDataFrame(rows, "label string, features array<double>")
+    model = mixture.fit_gmm_full(df, n_components=2, max_iter=10)
+    assert sorted(round(m.mean() / 4) for p in model.parts.values() for _, m, _ in p) == [0, 1, 2, 3]
+    assert all(np.isfinite(h).all() for p in model.parts.values() for _, _, h in p)
+    assert np.all(np.diff(model.history) >= -1e-9)
+    assert accuracy(model.predict(df, score="mixture")).first()[0] == 1.0
+
+
+def test_registered_full_mixture_has_several_components():
+    query = QUERIES["gmm_full"]
+    assert query.__closure__[query.__code__.co_freevars.index("params")].cell_contents["n_components"] == 5
+
+
 @pytest.mark.parametrize("kernel", ["rbf", "poly"])
 def test_kernel_estimate_sharpens(kernel):
     rng = np.random.default_rng(1)

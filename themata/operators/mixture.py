@@ -6,17 +6,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import materialise
 from themata.functions.blocks import CHUNK_ROWS, as_vector, best_class, matrix, width_of
 from themata.operators.centroids import features_of
-from themata.operators.reduce import class_means, covariance
 
 
 REG_COVAR = 1e-6
 
+#: Columns up to which a task holds a full matrix for each class and component.
+MAX_FULL_WIDTH = 1024
+
 
 def _log_normal(x: np.ndarray, mean: np.ndarray, half: np.ndarray) -> np.ndarray:
     """Log density under covariance S, ``half`` = L with S^-1 = L L^T."""
@@ -58,9 +62,10 @@ class MixtureModel:
         return df.withColumn("prediction", best_class(features_of(df, column), self.width, scores, labels))
 
 
-def _inverse_root(covariance_: np.ndarray) -> np.ndarray:
-    regular = covariance_ + REG_COVAR * np.eye(len(covariance_))
-    return np.linalg.cholesky(np.linalg.inv(regular))
+def _inverse_root(covariance_: np.ndarray, reg_covar: float = REG_COVAR) -> np.ndarray:
+    """Triangular L with (S + reg_covar I)^-1 = L L^T, also where S is singular up to rounding."""
+    values, axes = np.linalg.eigh(covariance_)
+    return np.linalg.qr((axes / np.sqrt(np.maximum(values, 0.0) + reg_covar)).T, mode="r").T
 
 
 def _labels(df: DataFrame, label: str) -> list:
@@ -68,40 +73,33 @@ def _labels(df: DataFrame, label: str) -> list:
 
 
 def fit_gmm_full(
-    df: DataFrame, n_components: int = 5, max_iter: int = 100, tol: float = 1e-3, seed: int = 0,
-    column: str = "features", label: str = "label",
+    df: DataFrame, n_components: int = 5, max_iter: int = 100, tol: float = 1e-3, reg_covar: float = REG_COVAR,
+    seed: int = 0, column: str = "features", label: str = "label",
 ) -> MixtureModel:
-    """Full covariances: ``pyspark.ml`` mixtures, one distributed fit per class."""
-    data = materialise(df.select(F.col(label).alias("label"), as_vector(df, column).alias("v")))
-    width = width_of(data, "v")
-    if n_components == 1:  # the Gaussian of the class; Spark's mixtures start at two components
-        parts = {}
-        for row in class_means(data, "v").collect():
-            rows = data.where(F.col("label") == row["label"])
-            cov = covariance(rows, "v") * (row["n"] - 1) / row["n"] if row["n"] > 1 else np.zeros((width, width))
-            parts[row["label"]] = [(1.0, np.array(row["mean"]), _inverse_root(cov))]
-        return MixtureModel("full", parts, width)
-    estimator = GaussianMixture(k=n_components, featuresCol="v", maxIter=max_iter, tol=tol, seed=seed)
-    parts = {}
-    for name in _labels(data, "label"):
-        model = estimator.fit(data.where(F.col("label") == name))
-        parts[name] = []
-        for weight, row in zip(model.weights, model.gaussiansDF.collect()):
-            parts[name].append((max(weight, 1e-300), row["mean"].toArray(), _inverse_root(row["cov"].toArray())))
-    return MixtureModel("full", parts, width)
+    """Full covariances by EM. ``reg_covar`` on their diagonals keeps them regular where a component has fewer
+    rows than dimensions, at which ``pyspark.ml``'s mixtures fail."""
+    return _fit("full", df, n_components, max_iter, tol, reg_covar, seed, column, label)
 
 
 def fit_gmm_diag(
     df: DataFrame, n_components: int = 5, max_iter: int = 100, tol: float = 1e-3, reg_covar: float = REG_COVAR,
     seed: int = 0, column: str = "features", label: str = "label",
 ) -> MixtureModel:
-    """Diagonal covariances by EM, all classes in one job per step (Spark itself has full only).
+    """Diagonal covariances by EM (Spark itself has full only)."""
+    return _fit("diag", df, n_components, max_iter, tol, reg_covar, seed, column, label)
+
+
+def _fit(kind: str, df: DataFrame, n_components: int, max_iter: int, tol: float, reg_covar: float, seed: int,
+         column: str, label: str) -> MixtureModel:
+    """EM from k-means, all classes in one job per step.
 
     A step broadcasts the parameters, each task sums responsibilities over bounded blocks, and a
     shuffle adds up the partial sums. Every step reads the same stage table, so no lineage grows.
     """
     data = materialise(df.select(F.col(label).alias("label"), features_of(df, column).alias("x")))
     width = width_of(data, "x")
+    if kind == "full" and width > MAX_FULL_WIDTH:
+        raise ValueError(f"full covariances wider than {MAX_FULL_WIDTH} columns: select or reduce terms first")
     start = data.select("label", as_vector(data, "x").alias("v"))
     parts = {}
     for name in _labels(data, "label"):
@@ -113,23 +111,36 @@ def fit_gmm_diag(
 
     history, previous = [], -np.inf
     for _ in range(max_iter + 1):
-        sums, log_likelihood, rows = _expect(data, width, parts)
-        parts = {}
+        sums, log_likelihood, rows = _expect(data, width, parts, kind)
+        old, parts = parts, {}
         for name, (r, rx, rxx) in sums.items():
-            alive = r > 1e-12
+            alive = np.flatnonzero(r > 1e-12)
             mean = rx[alive] / r[alive, None]
-            var = np.maximum(rxx[alive] / r[alive, None] - mean**2, 0.0) + reg_covar
-            parts[name] = list(zip(r[alive] / r.sum(), mean, var))
+            if kind == "full":  # the sums are of differences from the step's centres
+                centres = _centres(old[name])[alive]
+                spread = [_inverse_root(rxx[c] / r[c] - np.outer(m, m), reg_covar) for c, m in zip(alive, mean)]
+                mean = mean + centres
+            else:
+                spread = np.maximum(rxx[alive] / r[alive, None] - mean**2, 0.0) + reg_covar
+            parts[name] = list(zip(r[alive] / r.sum(), mean, spread))
         if log_likelihood is not None:
             history.append(log_likelihood / rows)
             if abs(history[-1] - previous) < tol:
                 break
             previous = history[-1]
-    return MixtureModel("diag", parts, width, history)
+    return MixtureModel(kind, parts, width, history)
+
+
+def _centres(part) -> np.ndarray:
+    return part[1] if part[0] == "hard" else np.array([m for _, m, _ in part])
 
 
-def _expect(data: DataFrame, width: int, parts: dict):
-    """Sums of r, r x, r x^2 per class and component, the log likelihood and the row count."""
+def _expect(data: DataFrame, width: int, parts: dict, kind: str):
+    """Sums of r, r x, r x^2 per class and component, the log likelihood and the row count. For full covariances
+    x is taken from the component's centre and x^2 is the outer product."""
+    order = sorted(parts)
+    full, density = kind == "full", _log_normal if kind == "full" else _log_diag
+    shape = (width, width) if full else (width,)
 
     def partial(batches):
         sums, totals = {}, [0.0, 0]
@@ -140,41 +151,46 @@ def _expect(data: DataFrame, width: int, parts: dict):
                 owner = names[begin : begin + CHUNK_ROWS]
                 for name in set(owner.tolist()):
                     x = block[owner == name]
+                    centres = _centres(parts[name])
                     if parts[name][0] == "hard":
-                        centres = parts[name][1]
                         near = np.stack([((x - c) ** 2).sum(1) for c in centres], axis=1).argmin(1)
                         share = np.eye(len(centres))[near]
                     else:
-                        logs = np.stack([np.log(w) + _log_diag(x, m, v) for w, m, v in parts[name]], axis=1)
+                        logs = np.stack([np.log(w) + density(x, m, s) for w, m, s in parts[name]], axis=1)
                         norm = np.logaddexp.reduce(logs, axis=1)
                         share = np.exp(logs - norm[:, None])
                         totals[0] += norm.sum()
                     totals[1] += len(x)
-                    new = (share.sum(0), share.T @ x, share.T @ (x * x))
+                    if full:
+                        off = [x - c for c in centres]
+                        new = (
+                            share.sum(0), np.stack([r @ y for r, y in zip(share.T, off)]),
+                            np.stack([(y * r[:, None]).T @ y for r, y in zip(share.T, off)]),
+                        )
+                    else:
+                        new = (share.sum(0), share.T @ x, share.T @ (x * x))
                     old = sums.get(name)
                     sums[name] = new if old is None else tuple(a + b for a, b in zip(old, new))
-        out = [(-1, -1, -1, totals[0], float(totals[1]), 0.0)] if totals[1] else []
-        order = sorted(parts)
+        out = [(-1, -1, np.array([totals[0], float(totals[1])]))] if totals[1] else []
         for name, (r, rx, rxx) in sums.items():
-            for c in range(len(r)):
-                out += [(order.index(name), c, j, r[c], rx[c, j], rxx[c, j]) for j in range(width)]
-        if out:
+            out += [(order.index(name), c, np.concatenate(([r[c]], rx[c], rxx[c].ravel()))) for c in range(len(r))]
+        for k, c, values in out:  # one component's sums at a time
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*out), [pa.int32()] * 3 + [pa.float64()] * 3)],
-                ["k", "c", "j", "r", "rx", "rxx"],
+                [pa.array([k], pa.int32()), pa.array([c], pa.int32()), pa.array([values], pa.list_(pa.float64()))], ["k", "c", "s"]
             )
 
-    cells = data.select("label", "x").mapInArrow(partial, "k int, c int, j int, r double, rx double, rxx double")
-    summed = cells.groupBy("k", "c", "j").agg(F.sum("r").alias("r"), F.sum("rx").alias("rx"), F.sum("rxx").alias("rxx"))
-    order = sorted(parts)
-    counts = {n: len(parts[n][1]) if parts[n][0] == "hard" else len(parts[n]) for n in order}
-    out = {n: (np.zeros(counts[n]), np.zeros((counts[n], width)), np.zeros((counts[n], width))) for n in order}
+    cells = data.select("label", "x").mapInArrow(partial, "k int, c int, s array<double>")
+    summed = cells.groupBy("k", "c").agg(Summarizer.sum(array_to_vector("s")).alias("s"))
+    counts = {n: len(_centres(parts[n])) for n in order}
+    out = {n: (np.zeros(counts[n]), np.zeros((counts[n], width)), np.zeros((counts[n], *shape))) for n in order}
     log_likelihood, rows = 0.0, 0
-    for row in summed.collect():  # classes x components x width rows
+    for row in summed.toLocalIterator():  # classes x components rows
+        values = row["s"].toArray()
         if row["k"] < 0:
-            log_likelihood, rows = row["r"], row["rx"]
+            log_likelihood, rows = values
             continue
         r, rx, rxx = out[order[row["k"]]]
-        r[row["c"]], rx[row["c"], row["j"]], rxx[row["c"], row["j"]] = row["r"], row["rx"], row["rxx"]
+        r[row["c"]], rx[row["c"]] = values[0], values[1 : width + 1]
+        rxx[row["c"]] = values[width + 1 :].reshape(shape)
     hard = any(p[0] == "hard" for p in parts.values())
     return out, None if hard else log_likelihood, rows
