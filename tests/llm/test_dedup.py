@@ -51,6 +51,61 @@ def test_run_index_equals_brute_force(docs, rows, monkeypatch):
     assert found == _kept_bytes(rows, run_index.WINDOW)
 
 
+@pytest.fixture(scope="module")
+def headed():
+    """A common line in different surroundings, some of which repeat, and one made of the line alone."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    line = " ".join(word() for _ in range(13))
+    made = [" ".join([*(word() for _ in range(30)), line, *(word() for _ in range(30))]) for _ in range(300)]
+    return list(enumerate([*made, *made[:5], f"{line} " * 12, f"x {line} " * 6]))
+
+
+def _largest_group(module, packer, grams, column, table):
+    """Bytes of strings in the largest group of one bucket."""
+    import zstandard
+
+    rows = superkmer.keyed(table, "doc_id", "text")
+    size = sum(len(r["text"]) for r in rows.collect())
+    schema = {superkmer: "bucket long, strings binary, docs binary, digests binary, starts binary, runs binary"}.get(
+        module, "bucket long, text binary, lengths binary, marks binary, docs binary, digests binary, starts binary"
+    )
+    frequent = superkmer.shared(rows, superkmer.frequent(rows, grams(module.WINDOW), size))
+    packed = rows.mapInArrow(packer(module.WINDOW, 1 << 20, frequent), schema).where(f"bucket < {1 << 20}")
+    sums = {}
+    for r in packed.collect():
+        sums[r["bucket"]] = sums.get(r["bucket"], 0) + len(zstandard.ZstdDecompressor().decompress(bytes(r[column])))
+    return max(sums.values())
+
+
+def test_common_line_is_dealt(spark, headed, monkeypatch):
+    """A line in all documents brings no bucket more than the bound, and the result stays."""
+    table = spark.createDataFrame(headed, "doc_id long, text string").repartition(3)
+    for module, packer, grams, column in [
+        (superkmer, superkmer._packer, superkmer._word_grams, "strings"), (run_index, run_index._packer, run_index._byte_grams, "text"),
+    ]:
+        whole = _largest_group(module, packer, grams, column, table)
+        with monkeypatch.context() as m:
+            m.setattr(superkmer, "HOT_BYTES", 5000)
+            split = _largest_group(module, packer, grams, column, table)
+        assert whole > 10_000 and split < 5000
+
+
+def test_results_with_common_lines_equal_brute_force(spark, headed, docs, rows, monkeypatch):
+    table = spark.createDataFrame(headed, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(run_index, "BUCKET_BYTES", 5000)
+    monkeypatch.setattr(superkmer, "BUCKET_BYTES", 5000)
+    for bound, given, made in [(8000, table, headed), (0, docs, rows)]:  # with 0 about all hashes are frequent
+        monkeypatch.setattr(superkmer, "HOT_BYTES", bound)
+        found = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in superkmer.remove_repeats(given).collect()}
+        assert found == _kept_words(made, superkmer.WINDOW)
+        found = {
+            r["doc_id"]: (r["n_bytes"], r["n_removed"], [tuple(s) for s in r["spans"]], bytes(r["kept"]))
+            for r in run_index.remove_repeats(given).collect()
+        }
+        assert found == _kept_bytes(made, run_index.WINDOW)
+
+
 def test_run_index_intervals():
     rng = np.random.default_rng(1)
     text = rng.integers(97, 100, 3000).astype(np.uint8)

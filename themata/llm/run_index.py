@@ -5,6 +5,9 @@ minimiser, the smallest hash of ``GRAM`` bytes in it; consecutive windows of a d
 as one segment to the minimiser's bucket, so equal windows meet there. Equal segments of a block of text are joined
 before the shuffle, equal segments of a bucket after it.
 
+A gram so frequent that its windows could fill a bucket is nobody's minimiser but where a window holds no other;
+such windows go by the smallest hash of half a window, see ``superkmer``.
+
 Segments that hold their minimiser once and share it with no other segment have no window of another one, nor one
 twice. Over the rest, which is the repetitive part of the corpus, a bucket builds a run-length Burrows-Wheeler transform: rotations are sorted to
 the window's depth, equal symbols in a row are one run, counts are kept per run, the text position at each run's
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import materialise
 from themata.llm.batches import blocks, gather, record, steps
-from themata.llm.superkmer import _SPANS_DDL, _repeats, keyed, mix, sliding_min
+from themata.llm.superkmer import _SPANS_DDL, LAST, _repeats, demoted, frequent, keyed, mix, shared, sliding_min
 
 WINDOW = 100
 
@@ -60,17 +63,54 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return mix(eight[: n - 8] * np.uint64(0x9E3779B97F4A7C15) + eight[8:])
 
 
-def _segments(data: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+def _far(grams: np.ndarray, length: int) -> np.ndarray:
+    """Hash of ``length`` bytes from each place, by those of the grams in them."""
+    n = len(grams) - length + GRAM
+    total = np.zeros(n, np.uint64)
+    for at in [*range(0, length - GRAM, GRAM), length - GRAM]:
+        total = total * np.uint64(0x9E3779B97F4A7C15) + grams[at : at + n]
+    return mix(total)
+
+
+def _data(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a block's texts and where each begins and ends."""
+    column = block.column(1).cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _byte_grams(window: int):
+    """Hashes of ``GRAM`` bytes in a block, and the bytes of the windows around each."""
+
+    def grams(block: pa.RecordBatch) -> tuple[np.ndarray, int]:
+        data, _ = _data(block)
+        return (_grams(data) >> np.uint64(24) if len(data) >= window else np.empty(0, np.uint64)), 2 * window - GRAM
+
+    return grams
+
+
+def _segments(data: np.ndarray, bounds: np.ndarray, window: int, hot: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Document, first byte, last byte (exclusive), minimiser of each segment of a block, and whether the minimiser
-    stands in the segment more than once. Below the minimiser's 40 bits the place is packed, from either side."""
+    may stand in the segment more than once. Below the minimiser's 40 bits the place is packed, from either side."""
     none = np.empty(0, np.int64)
     if len(data) < window:
         return none, none, none, none, none.astype(bool)
-    grams, width = _grams(data) & ~_PLACE, window - GRAM + 1
+    whole, width = _grams(data), window - GRAM + 1
+    grams = whole & ~_PLACE
+    if hot is not None:
+        low = demoted(whole >> np.uint64(24), hot)  # 39 bits and the mark
+        grams = low << np.uint64(24) | low & LAST
     place = np.arange(len(grams), dtype=np.uint64) & _PLACE
     leftmost = sliding_min(grams | place, width)
     rightmost = sliding_min(grams | (_PLACE - place), width)
     least = leftmost >> np.uint64(24)
+    behind = np.zeros(len(least), bool)
+    if hot is not None:
+        behind = leftmost >= LAST
+        if behind.any():
+            half = max(GRAM, window // 2)
+            far = sliding_min(_far(whole, half), window - half + 1)
+            least = np.where(behind, (far | LAST) >> np.uint64(24), least)
     lengths = np.diff(bounds)
     new = np.empty(len(least), bool)
     new[0] = True
@@ -84,20 +124,17 @@ def _segments(data: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.nda
     starts = np.flatnonzero(new & valid)
     doc = np.searchsorted(bounds, starts, side="right") - 1
     stops = np.minimum(np.append(starts[1:], len(least))[: len(starts)], bounds[doc + 1] - window + 1)
-    twice = (leftmost[starts] & _PLACE) != _PLACE - (rightmost[stops - 1] & _PLACE)
+    twice = behind[starts] | ((leftmost[starts] & _PLACE) != _PLACE - (rightmost[stops - 1] & _PLACE))
     return doc, starts, stops + window - 1, least[starts].astype(np.int64), twice
 
 
-def _packer(window: int, buckets: int):
+def _packer(window: int, buckets: int, frequent_):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         task = TaskContext.get().partitionId()
         for number, block in enumerate(blocks(batches)):
-            column = block.column(1).cast(pa.binary())
-            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
-            bounds = ends - ends[0]
-            doc, first, last, least, twice = _segments(data, bounds, window)
+            data, bounds = _data(block)
+            doc, first, last, least, twice = _segments(data, bounds, window, None if frequent_ is None else frequent_.value)
             if not len(doc):
                 continue
             raw = data.tobytes()
@@ -274,7 +311,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     schema = "bucket long, text binary, lengths binary, marks binary, docs binary, digests binary, starts binary"
-    packed = rows.mapInArrow(_packer(window, buckets), schema)
+    packed = rows.mapInArrow(_packer(window, buckets, shared(rows, frequent(rows, _byte_grams(window), size))), schema)
     return packed.groupBy("bucket").applyInArrow(_finder(window, buckets), _SPANS_DDL)
 
 

@@ -9,6 +9,10 @@ Equal super-k-mers of a block of text are joined before the shuffle: only the ea
 the others are reported at once. So a passage that fills a third of all documents sends one string per block.
 Buckets follow the bytes of the input and are grouped one at a time; strings are compressed per block and bucket.
 
+A hash so frequent that its windows could fill a bucket (``HOT_BYTES``; bytes are counted over all texts first) is
+nobody's minimiser but where a window holds no other; such windows go by the smallest hash of half a window. Both
+follow from the window's words alone, so equal windows still meet; the counts only decide the cost.
+
 Defined cases: null, empty and short texts keep all their words; documents are told apart by id and, where ids
 repeat, by text, then ordered by a hash of it; rows that repeat id and text are one document and get its result;
 a null id comes first; an empty table gives an empty table.
@@ -17,7 +21,7 @@ a null id comes first; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import compress
 
 import numpy as np
@@ -39,6 +43,15 @@ MERS = 3
 #: Bytes of input text per bucket; its super-k-mers hold about three times as many.
 BUCKET_BYTES = 4 << 20
 
+#: Bytes of windows that one minimiser may bring to its bucket before the joining of equal strings.
+HOT_BYTES = 4 << 20
+
+#: Counters of the table of frequent hashes (a power of two). More of them keep rare hashes apart on larger corpora.
+COUNTERS = 1 << 22
+
+#: Marks what goes behind all unmarked hashes.
+LAST = np.uint64(1 << 63)
+
 _ODD = np.array([0x9E3779B97F4A7C15], np.uint64)  # an array, as these products are meant to wrap around
 
 _PACKED = pa.schema([
@@ -84,7 +97,69 @@ def rolling_hash(x: np.ndarray, width: int) -> np.ndarray:
         power, have = power * power, have * 2
 
 
-def _packer(window: int, buckets: int):
+def frequent(rows: DataFrame, grams: Callable, size: int) -> np.ndarray | None:
+    """For each counter whether its hashes are frequent, None if none is; ``grams`` gives the hashes of a block of
+    texts and the bytes of the windows around each, ``size`` is the bytes of all texts.
+
+    One table per task; only counters that matter leave it, those under a thousandth of the bound, or less on
+    inputs of many tasks, add up to no more than half of it.
+    """
+    floor = HOT_BYTES // max(1000, size >> 22) // 2
+    schema = pa.schema([("slot", pa.int64()), ("bytes", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(COUNTERS, np.int64)
+        for block in blocks(batches):
+            hashes, around = grams(block)
+            if len(hashes):
+                np.add.at(table, (hashes & np.uint64(COUNTERS - 1)).astype(np.int64), around)
+        slots = np.flatnonzero(table > floor)
+        for at in range(0, len(slots), 1 << 16):
+            yield record(schema, slots[at : at + (1 << 16)], table[slots[at : at + (1 << 16)]])
+
+    counted = rows.mapInArrow(count, "slot long, bytes long").groupBy("slot").agg(F.sum("bytes").alias("bytes"))
+    # a counter also holds its share of all other hashes
+    bound = HOT_BYTES // 2 + size * WINDOW * 8 // COUNTERS
+    slots = counted.where(F.col("bytes") > bound).select("slot").toArrow().column(0).to_numpy()  # at most all counters
+    if not len(slots):
+        return None
+    table = np.zeros(COUNTERS, bool)
+    table[slots] = True
+    return table
+
+
+def shared(rows: DataFrame, table: np.ndarray | None):
+    """Broadcast of the table, None if there is none."""
+    return None if table is None else rows.sparkSession.sparkContext.broadcast(table)
+
+
+def demoted(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """``hashes`` with those that are frequent behind all others."""
+    return hashes >> np.uint64(1) | np.where(hot[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)], LAST, np.uint64(0))
+
+
+def _word_hashes(words: Words) -> np.ndarray:
+    return pd.util.hash_array(words.vocabulary.to_numpy(zero_copy_only=False)).astype(np.uint64)[words.codes]
+
+
+def _word_grams(window: int):
+    """Hashes of ``MERS`` words in a block, and the bytes of the windows around each."""
+
+    def grams(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        words = Words(block.column(1))
+        n = len(words.codes)
+        if n < window:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        lengths = pc.binary_length(words.vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)[words.codes] + 1
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        at = np.arange(n - MERS + 1)
+        around = ends[np.minimum(at + window, n)] - ends[np.maximum(at + MERS - window, 0)]
+        return mix(rolling_hash(_word_hashes(words), MERS)), around
+
+    return grams
+
+
+def _packer(window: int, buckets: int, frequent_):
     """Function from text blocks to packed super-k-mers per bucket, and the spans found in the block itself."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,8 +170,13 @@ def _packer(window: int, buckets: int):
             counts, n = words.counts, len(words.codes)
             if n < window:
                 continue
-            hashes = pd.util.hash_array(words.vocabulary.to_numpy(zero_copy_only=False)).astype(np.uint64)[words.codes]
-            least = sliding_min(mix(rolling_hash(hashes, MERS)), window - MERS + 1)
+            hashes = _word_hashes(words)
+            grams = mix(rolling_hash(hashes, MERS))
+            least = sliding_min(grams if frequent_ is None else demoted(grams, frequent_.value), window - MERS + 1)
+            if frequent_ is not None and (least >= LAST).any():
+                half = max(MERS, window // 2)
+                far = sliding_min(mix(rolling_hash(hashes, half)), window - half + 1)
+                least = np.where(least >= LAST, far | LAST, least)
             doc = np.repeat(np.arange(block.num_rows), counts)[: len(least)]
             valid = np.arange(len(least)) + window <= words.bounds[doc + 1]
             new = valid.copy()
@@ -217,7 +297,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     schema = "bucket long, strings binary, docs binary, digests binary, starts binary, runs binary"
-    packed = rows.mapInArrow(_packer(window, buckets), schema)
+    packed = rows.mapInArrow(_packer(window, buckets, shared(rows, frequent(rows, _word_grams(window), size))), schema)
     return packed.groupBy("bucket").applyInArrow(_unpacker(window, buckets), _SPANS_DDL)
 
 
