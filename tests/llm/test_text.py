@@ -216,3 +216,23 @@ def test_quality(labelled, nothing):
     assert {round(r["score"], 6) for r in alone.collect()} == {0.5}
     empty = docs.limit(0)
     assert quality.site_quality(empty, labels, F.col("source"), F.col("lang")).count() == 0
+
+
+def test_whole_ibans_secrets_and_addresses(spark):
+    """Every country's length, spaced or not, and long secrets and addresses, are found to their end."""
+    lengths = {name: n for n, names in pii.IBAN_LENGTHS.items() for name in names.split("|")}
+    assert set(lengths) == set(pii.COUNTRIES[4:-1].split("|"))
+    ibans = ["DE89370400440532013000", "GB82WEST12345698765432", *[(c + "00" + "1234567890" * 3)[:n] for c, n in lengths.items()]]
+    wanted = {f"pay {v} IN full": ("iban", v) for v in ibans}
+    spaced = [" ".join(v[i : i + 4] for i in range(0, len(v), 4)) for v in ibans]
+    wanted |= {f"pay {v} IN full": ("iban", v) for v in spaced}
+    secret, local = "token=" + "a1" * 150, "n" * 80
+    wanted |= {f"the {secret} here": ("secret", secret), f"ask {local} [at] mail.a1.b2.c3.d4.{'h' * 70}.org now": ("at_email", None)}
+    table = spark.createDataFrame([(t,) for t in wanted], "text string")
+    matches = {k: v for k, v in pii._matches(F.col("text")).items() if k in ("iban", "secret", "at_email")}
+    good = pii._checks()
+    checked = lambda kind: F.filter(matches[kind], lambda s: good[kind](s.value)).alias(kind)
+    found = table.select("text", *map(checked, matches)).collect()
+    for row in found:
+        kind, value = wanted[row["text"]]
+        assert [s["value"] for s in row[kind]] == [value or row["text"][4:-4]]
