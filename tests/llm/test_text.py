@@ -236,3 +236,13 @@ def test_whole_ibans_secrets_and_addresses(spark):
     for row in found:
         kind, value = wanted[row["text"]]
         assert [s["value"] for s in row[kind]] == [value or row["text"][4:-4]]
+
+
+def test_items_that_share_an_id(spark):
+    """Windows of items with one id, or none, and of an item that stands twice, are each looked up."""
+    made = [" ".join(f"{name}{i}" for i in range(14)) for name in "abcde"]
+    bench = spark.createDataFrame([(0, made[0]), (0, made[1]), (None, made[2]), (None, made[3]), (1, made[4]), (1, made[4])], "item_id long, text string")
+    table = spark.createDataFrame([(i, f"before {t} after") for i, t in enumerate(made)], "doc_id long, text string")
+    found = {r["doc_id"]: r["hits"] for r in positional_index.decontaminate(table, bench).collect()}
+    assert [{h["item_id"] for h in found[i]} for i in range(5)] == [{0}, {0}, {None}, {None}, {1}]
+    assert all({(h["start"], h["position"]) for h in found[i]} == {(k, k + 1) for k in range(5)} for i in range(5))

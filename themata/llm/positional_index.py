@@ -12,7 +12,8 @@ at most ``MAX_TERMS``; beyond that all terms are, with the same result.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower case. An item of fewer words than a
 window is one window. Defined cases: null, empty and wordless texts have no words and no hits; items without
-words have no windows; repeated documents and items are each looked up; an empty table gives an empty table.
+words have no windows; repeated documents and items, also
+under one id or none, are each looked up; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -154,9 +155,11 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
         raise ValueError("window and slop reach across documents")
     spark = index.sparkSession
     seen = index.where("term <> ''").groupBy("term").agg(F.sum("n").alias("n"))
-    places = items.select("item_id", F.posexplode("words").alias("at", "term")).join(seen, "term", "left")
-    ranked = places.groupBy("item_id", "at", "term").agg(F.max(F.coalesce("n", F.lit(0))).alias("n"))
-    ordered = ranked.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("at", "term", "n"))).alias("words"))
+    # items are told apart by row, as ids may repeat or be null
+    rows = items.select(F.monotonically_increasing_id().alias("key"), "item_id", "words")
+    places = rows.select("key", "item_id", F.posexplode("words").alias("at", "term")).join(seen, "term", "left")
+    ranked = places.groupBy("key", "item_id", "at", "term").agg(F.max(F.coalesce("n", F.lit(0))).alias("n"))
+    ordered = ranked.groupBy("key", "item_id").agg(F.sort_array(F.collect_list(F.struct("at", "term", "n"))).alias("words"))
     results = []
     for block in _window_blocks(ordered, window):
         look_up = _look_up(spark.sparkContext.broadcast(block), slop)
