@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from themata.cluster import broadcast_if_small, materialise
 from themata.llm import jaccard_join, packing, pii, positional_index, toxicity
@@ -22,19 +22,27 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word 5-gram Jaccard similarity of 0.8, the one with the smallest id; of rows with
-    one id, the first by text. Documents without an id all stay."""
-    found = jaccard_join.near_duplicates(docs)
-    gone = materialise(found.where("component_id <> doc_id").select("doc_id").distinct())
-    left = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = materialise(repeated)
+    """Of documents linked by word 5-gram Jaccard similarity of 0.8, the one with the smallest id, of its texts the
+    first by hash; of rows with one id and text, one. Texts that are not linked stay, also under one id. Documents
+    without an id all stay."""
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))  # tells the texts of an id apart
+    found = jaccard_join.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
+    linked = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("component"), F.count("*").alias("n"))
+    ids = docs.where("doc_id is not null").groupBy(key.alias("key")).agg(F.min("doc_id").alias("id"))
+    rows = materialise(linked.join(ids, "key"))
+    first = rows.groupBy("component").agg(F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("size"))
+    first = materialise(first.where("size > 1").select("component", F.col("first.key").alias("kept")))
+    gone = rows.join(broadcast_if_small(first), "component").where("key <> kept").select("key")
+    gone = materialise(gone)
+    named = docs.withColumn("__key", key)
+    left = named.join(broadcast_if_small(gone.withColumnRenamed("key", "__key")), "__key", "left_anti")
+    repeated = materialise(rows.where("n > 1").select(F.col("key").alias("__key")))
     if repeated.isEmpty():
-        return left
-    several = left.join(broadcast_if_small(repeated), "doc_id", "left_semi").select(docs.columns)
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = several.withColumn("__place", F.row_number().over(first)).where("__place = 1").select(docs.columns)
-    return left.join(broadcast_if_small(repeated), "doc_id", "left_anti").select(docs.columns).unionAll(one)
+        return left.select(docs.columns)
+    several = left.join(broadcast_if_small(repeated), "__key", "left_semi").select("__key", *docs.columns)
+    row = F.struct(*docs.columns)
+    one = several.groupBy("__key").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    return left.join(broadcast_if_small(repeated), "__key", "left_anti").select(docs.columns).unionAll(one)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -214,3 +214,21 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     assert found[510]["component_id"] == 3 and found[719]["component_id"] == 5 and not found[719]["kept"]
     assert all(found[i]["n_links"] == 0 and found[i]["kept"] for i in (1000, 1001, 1002, 1003, 1004, 1005, None))
     assert hnsw.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_links_of_texts_that_share_an_id(spark):
+    """Each text of an id keeps its own links: many ids with two unrelated texts, and near copies of both."""
+    rng = random.Random(4)
+    made, want = [], {}
+    for i in range(20):
+        for side in (0, 1):
+            words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60 + 40 * side)]
+            made.append((i, " ".join(words)))
+            for copy in (0, 1):
+                words[rng.randrange(len(words))] = "changed"
+                other = 1000 + 100 * i + 10 * side + copy
+                made.append((other, " ".join(words)))
+                want[other] = i
+    table = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    found = {(r["doc_id"], r["component_id"]) for r in jaccard_join.near_duplicates(table).collect()}
+    assert found == {(i, i) for i in range(20)} | set(want.items())

@@ -26,6 +26,14 @@ def test_one_of_each_group_stays(spark):
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "4", "5", "None"]
 
 
+def test_unlinked_texts_of_one_id_stay(spark):
+    first, second, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "uvw")
+    rows = [(1, first), (2, first + " more"), (2, second), (2, third), (3, third + " more"), (2, second), (4, ""), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_one_of_group(spark, docs, SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, first), (2, second), (2, third), (4, "")]
+
+
 def test_registered_queries_return_every_row(spark):
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     want = spark.read.parquet(f"{SF}/documents.parquet").count()

@@ -17,7 +17,8 @@ So a large group of near copies costs about one verification per member and list
 component misses a link. Shingles are compared as 64-bit hashes, equal sets as 128 bits.
 
 Defined cases: null, empty and wordless texts have an empty set and no links; fewer words than a shingle are one
-shingle; rows with one id are one vertex; a null id takes no part and has no component; an empty table gives an
+shingle; rows with one id are one vertex, but
+each of their texts is compared under a key of its own; a null id takes no part and has no component; an empty table gives an
 empty table.
 """
 
@@ -281,7 +282,8 @@ def _block_pairs(members: DataFrame, spanning: bool) -> DataFrame:
 
 
 def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Signatures of all, and ``(node, component)`` of the linked documents; ``rows`` has id and text."""
+    """Signatures of all, and ``(node, component)`` of the linked documents; ``rows`` has id and text, and rows with
+    one id have one text."""
     every = materialise(signatures(rows, frequency_class(shingle_counters(rows))))
     signed = every.where("n > 0 and id is not null")
     # a class is named by its smallest id, a group by its smallest class
@@ -311,7 +313,7 @@ def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = components(first)
         # a list without any pair has none between what its components become either
         lists = lists.join(pairs.select("key").distinct(), "key", "left_semi")
-    # rows that share an id tie their classes, rows of a class tie their ids
+    # rows of a class tie their ids
     ties = signed.select("id", "d1", "d2").join(classes.select(F.col("id").alias("b"), "d1", "d2"), ["d1", "d2"]).where("id <> b").select(F.col("id").alias("a"), "b")
     edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ties)
     return every, components(edges)
@@ -319,6 +321,22 @@ def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every document."""
-    signed, found = link_components(texts(docs, id_col, text_col))
-    named = signed.select("id", "n").join(found.select(F.col("node").alias("id"), "component"), "id", "left")
-    return named.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    rows = texts(docs, id_col, text_col)
+    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("id")).where("id is not null").groupBy("id").count()
+    if ids.where("count > 1").isEmpty():
+        signed, found = link_components(rows)
+        named = signed.select("id", "n").join(found.select(F.col("node").alias("id"), "component"), "id", "left")
+        return named.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    # ids repeat: texts are linked under keys, then keys with one id are tied
+    key = F.when(F.col("id").isNotNull(), F.xxhash64("id", "text"))
+    keys = materialise(rows.select(key.alias("key"), "id").where("id is not null").distinct())
+    signed, found = link_components(rows.select(key.alias("id"), "text"))
+    least = keys.groupBy("id").agg(F.min("key").alias("b"))
+    ties = keys.join(least, "id").where("key <> b").select(F.col("key").alias("a"), "b")
+    tied = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ties))
+    whole = keys.join(tied.select(F.col("node").alias("key"), "component"), "key", "left")
+    whole = materialise(whole.select("key", "id", F.coalesce("component", "key").alias("component")))
+    names = whole.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = whole.join(names, "component").select("key", F.col("id").alias("doc_id"), "component_id")
+    every = signed.select(F.col("id").alias("key"), F.col("n").alias("n_shingles")).join(named, "key", "left")
+    return every.select("doc_id", "n_shingles", "component_id")
