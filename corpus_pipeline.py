@@ -14,6 +14,14 @@ from themata.llm import jaccard_join, packing, pii, positional_index, toxicity
 from themata.llm.tokens import public_tokenizer
 
 
+def _free_name(docs: DataFrame, name: str = "__key") -> str:
+    """A column name that ``docs`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5, by the labels that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -34,24 +42,25 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     first = materialise(first.where("size > 1").select("component", F.col("first.key").alias("kept")))
     gone = rows.join(broadcast_if_small(first), "component").where("key <> kept").select("key")
     gone = materialise(gone)
-    named = docs.withColumn("__key", key)
-    left = named.join(broadcast_if_small(gone.withColumnRenamed("key", "__key")), "__key", "left_anti")
-    repeated = materialise(rows.where("n > 1").select(F.col("key").alias("__key")))
+    own = _free_name(docs)
+    named = docs.withColumn(own, key)
+    left = named.join(broadcast_if_small(gone.withColumnRenamed("key", own)), own, "left_anti")
+    repeated = materialise(rows.where("n > 1").select(F.col("key").alias(own)))
     if repeated.isEmpty():
         return left.select(docs.columns)
-    several = left.join(broadcast_if_small(repeated), "__key", "left_semi").select("__key", *docs.columns)
+    several = left.join(broadcast_if_small(repeated), own, "left_semi").select(own, *docs.columns)
     row = F.struct(*docs.columns)
-    one = several.groupBy("__key").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
-    return left.join(broadcast_if_small(repeated), "__key", "left_anti").select(docs.columns).unionAll(one)
+    one = several.groupBy(own).agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    return left.join(broadcast_if_small(repeated), own, "left_anti").select(docs.columns).unionAll(one)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no 10-word window of a benchmark item occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    key = F.xxhash64("doc_id", "text")  # also tells rows without an id apart
+    own, key = _free_name(docs), F.xxhash64("doc_id", "text")  # also tells rows without an id apart
     found = positional_index.decontaminate(docs.select(key.alias("key"), "text"), benchmark, id_col="key")
-    hit = materialise(found.where(F.size("hits") > 0).select(F.col("doc_id").alias("key")).distinct())
-    return docs.withColumn("key", key).join(broadcast_if_small(hit), "key", "left_anti").select(docs.columns)
+    hit = materialise(found.where(F.size("hits") > 0).select(F.col("doc_id").alias(own)).distinct())
+    return docs.withColumn(own, key).join(broadcast_if_small(hit), own, "left_anti").select(docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,11 @@ def op4_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = annotate(docs, fit(docs))
-    counts = [F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE)]
+
+    def of_kind(k: int):
+        return lambda s: s.kind == k  # a second argument would be taken for the element's place
+
+    counts = [F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 

@@ -27,6 +27,10 @@ JOINED = 256
 #: contractions, and not the marks of special tokens.
 MARKS = '.,!"#$%&()*+-/:;=?@[\\]^_`{}~'
 
+#: The one letter whose lower case is not letters only: its dot joins the marks behind it, so that such a part
+#: goes whole to the tokenizer.
+DOTTED = "\u0130"
+
 _encoders: dict[str, "Encoder"] = {}
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -47,7 +51,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.final = np.zeros(max(vocabulary.values()) + 1, bool)
         self.final[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.parted = rf"^(?P<letters>\pL+)(?P<marks>[{re.escape(MARKS)}]*)$"
+        self.parted = rf"^(?P<letters>[^\PL{DOTTED}]+)(?P<marks>[{re.escape(MARKS)}]*)$"
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
