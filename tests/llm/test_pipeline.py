@@ -35,7 +35,16 @@ def test_unlinked_texts_of_one_id_stay(spark):
 
 
 def test_registered_queries_return_every_row(spark):
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     want = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for name in ("op3_superkmer_dedup", "op4_weak_supervision_pii", "op8_toxic_segments", "op10_positional_index"):
+    for name in ("op3_superkmer_dedup", "op4_weak_supervision_pii", "op8_toxic_segments", "op10_positional_index", "op13_bloom_exact_dedup"):
         assert QUERIES[name](spark, SF).count() == want
+
+
+def test_columns_named_like_the_stages_own_stay(spark):
+    source = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    docs = source.selectExpr("*", "doc_id as key", "'mine' as __key", "1 as Base")
+    for stage in (corpus_pipeline.keep_one_of_group, corpus_pipeline.decontaminate):
+        kept = stage(spark, docs, SF)
+        assert kept.dtypes == docs.dtypes
+        assert all(r["key"] == r["doc_id"] and r["__key"] == "mine" for r in kept.collect())

@@ -246,3 +246,21 @@ def test_items_that_share_an_id(spark):
     found = {r["doc_id"]: r["hits"] for r in positional_index.decontaminate(table, bench).collect()}
     assert [{h["item_id"] for h in found[i]} for i in range(5)] == [{0}, {0}, {None}, {None}, {1}]
     assert all({(h["start"], h["position"]) for h in found[i]} == {(k, k + 1) for k in range(5)} for i in range(5))
+
+
+def test_counts_by_kind(spark, tmp_path):
+    from themata.llm.queries import QUERIES
+
+    texts = ["a@b.cd and c@d.ef and 1.2.3.4", None, "", "call +49 30 1234567, pay 4111 1111 1111 1111", "x@y.zz 1.2.3.4 5.6.7.8 9.9.9.999"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) for r in QUERIES["op4_weak_supervision_pii"](spark, str(tmp_path)).collect()}
+    assert found == {0: (2, 1, 0, 0), 1: (0, 0, 0, 0), 2: (0, 0, 0, 0), 3: (0, 0, 1, 1), 4: (1, 2, 0, 0)}
+
+
+def test_ids_of_dotted_capital_i(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizer())
+    texts = ["ŞİRKETİ.", "GENEL MÜDÜRLÜĞÜ (ANKARA İLİ), 2024", "İ. İ, İ!", "aİ' İs't"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.best_fit_packing(table, public_tokenizer()).collect()}
+    ids = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert found == {i: (len(own), zlib.crc32(own.tobytes())) for i, own in enumerate(ids)}

@@ -98,8 +98,85 @@ def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_tree_bounded_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.hard_negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
+
+
+def op12_dense_tile_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.lexical_search import search
+
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from themata.llm.exact_dedup import mark_duplicates
+
+    marked = mark_duplicates(_table(spark, sf_dir, "documents"))
+    return marked.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_tree_bounded_negatives": """
+        with finite as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+        ), scored as (
+            select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same, list_inner_product(a.v, r.v)::bigint as score
+            from finite a join finite r on a.vec_id <> r.vec_id
+            where a.vec_id % 100 = 0
+        ), positives as (
+            select anchor_id, id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+        )
+        select anchor_id, positive_id, (row_number() over best)::int as rank, id as negative_id, positive_score, score as negative_score
+        from positives join scored using (anchor_id)
+        where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+        window best as (partition by anchor_id, positive_id order by score desc, id)
+        qualify row_number() over best <= 10
+    """,
+    "op12_dense_tile_search": r"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+            )) as term from documents
+        ), counts as (select doc_id, term, count(*) as tf from words group by all
+        ), sizes as (select doc_id, sum(tf)::bigint as n from counts group by all
+        ), total as (select count(*) as n_docs, sum(n)::bigint as n_terms from sizes
+        ), weights as (
+            select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from counts, total group by term, n_docs
+        ), asked as (
+            select item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+            )) as term from benchmark
+        ), scored as (
+            select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::bigint as score
+            from asked join counts using (term) join sizes using (doc_id) join weights using (term), total
+            group by all
+        )
+        select item_id, (row_number() over best)::int as rank, doc_id, score from scored where score > 0
+        window best as (partition by item_id order by score desc, doc_id)
+        qualify row_number() over best <= 10
+    """,
+    "op13_bloom_exact_dedup": r"""
+        with rows as (
+            select doc_id, length(coalesce(text, '')) as n_chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
+            from documents
+        )
+        select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by text_sha256) as group_size,
+            row_number() over best = 1 as kept, text_sha256
+        from rows window best as (partition by text_sha256 order by n_chars desc, doc_id)
+    """,
+}
