@@ -9,8 +9,8 @@ else of 64-bit integers, so that every score is exact.
 
 Two walks are made: one for the positives of each anchor, whose window is all that reaches the best so far; one for
 the negatives, whose windows follow from the positives' scores and shrink as the best so far fill up. Tasks keep the
-best of each anchor, by score and id; a shuffle in two steps merges them. Anchors are taken in blocks of ``ANCHORS``:
-a block's vectors (``ANCHORS`` times the width) and its tree are all that is broadcast, and the rows, stored once, are
+best of each anchor, by score and id; a shuffle in two steps merges them. Anchors are taken in blocks of ``ANCHORS``,
+near ones together: a block's vectors (``ANCHORS`` times the width) and its tree are all that is broadcast, and the rows, stored once, are
 read twice a block. Bounds prune where anchors are near each other compared with the windows; where they are not, all
 rows are rescored, and the result is the same.
 
@@ -39,6 +39,9 @@ from themata.llm.topk import Best
 #: Anchors that are worked on at once.
 ANCHORS = 1024
 
+#: Anchors that the others are ordered by, so that a block holds near ones.
+PIVOTS = 256
+
 #: Rows of a block inside a task.
 ROWS = 2048
 
@@ -179,6 +182,21 @@ def _negatives(shared, windows, n_positives: int, n_negatives: int, dtype):
     return search
 
 
+def _by_place(anchors: DataFrame) -> DataFrame:
+    """Anchors in an order that brings near ones together: by the nearest of ``PIVOTS`` of them, then by id."""
+    some = anchors.orderBy(F.xxhash64("id", "row"), "row").limit(PIVOTS).select("v").collect()
+    if not some:
+        return anchors.orderBy("id", "row")
+    pivots = np.array([r["v"] for r in some])
+
+    @F.arrow_udf("int")
+    def nearest(v: pa.Array) -> pa.Array:
+        x = _matrix(v, np.float64)
+        return pa.array((x @ pivots.T - (pivots * pivots).sum(1) / 2).argmax(1), pa.int32())
+
+    return anchors.withColumn("cell", nearest("v")).orderBy("cell", "id", "row")
+
+
 def _blocks_of(anchors: DataFrame) -> Iterator[list]:
     group: list = []
     for row in anchors.toLocalIterator():
@@ -204,8 +222,8 @@ def mine(table: DataFrame, label: Column, is_anchor: Column, n_positives: int =
     dtype = np.float64 if square < 2.0**52 else np.int64
     order = [F.desc("score"), F.asc_nulls_last("id"), F.asc("row")]
     results = []
-    anchors = rows.where(is_anchor & F.col("id").isNotNull()).orderBy("id", "row")
-    for group in _blocks_of(anchors):
+    anchors = materialise(rows.where(is_anchor & F.col("id").isNotNull()))
+    for group in _blocks_of(_by_place(anchors)):
         vectors = np.array([r["v"] for r in group]).astype(dtype)
         tree = spanning_tree(vectors, np.array([r["label"] for r in group]), np.array([r["row"] for r in group]))
         shared = spark.sparkContext.broadcast(tree)
