@@ -517,7 +517,8 @@ QUERIES = {
     "svm_linear": on_documents("SVM", kernel="linear"),
     "svm_rbf": on_documents("SVM", kernel="rbf", C=1.5),
     "svm_poly": on_documents("SVM", kernel="poly"),
-    "mlp": on_documents("ANN"),
+    "mlp": on_documents("MLP"),
+    "mlp_adam": on_documents("ANN", epochs=40, batch_size=200, learning_rate=0.005),
     # evaluation
     "accuracy": accuracy,
     "grid_centroid": grid_scores,

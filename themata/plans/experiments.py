@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import Column, DataFrame, functions as F
 
 from themata.cluster import materialise
-from themata.operators import centroids, learners, mixture, neighbours
+from themata.operators import centroids, learners, mixture, neighbours, network
 from themata.operators.evaluate import accuracy
 from themata.operators.reduce import covariance, fit_reduction
 from themata.plans.features import FeatureModel
@@ -58,7 +58,8 @@ METHODS: dict[str, Callable] = {
     "GMM": _fit_gmm,
     "RandomForest": learners.fit_forest,
     "SVM": learners.fit_svm,
-    "ANN": learners.fit_mlp,
+    "ANN": network.fit_network,
+    "MLP": learners.fit_mlp,
 }
 
 
@@ -107,6 +108,7 @@ def grids() -> dict[str, list[dict]]:
         "MEAN": [{"method": "MEAN", "metric": m} for m in ("euclidean", "cosine", "mahalanobis")],
         "GMM": [{"method": "GMM", "covariance_type": c, "n_components": n} for c in ("full", "diag") for n in counts],
         "SVM": [{"method": "SVM", "kernel": k, "C": c} for k in ("rbf", "linear", "poly") for c in (0.5, 1.0, 1.5)],
+        "ANN": [{"method": "ANN", "epochs": 10, "batch_size": b, "learning_rate": (1 + 200 * i) / 1000} for b in (10, 20, 50, 80) for i in range(5)],
     }
 
 
@@ -119,7 +121,7 @@ def all_models() -> list[dict]:
         {"method": "MEAN", "metric": "mahalanobis"},
         {"method": "GMM", "covariance_type": "diag", "n_components": 11},
         {"method": "KNN", "n_neighbors": 10, "metric": "cosine"},
-        {"method": "ANN"},
+        {"method": "ANN", "epochs": 40, "batch_size": 20},
     ]
 
 
