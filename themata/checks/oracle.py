@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from themata.checks.queries import GREEK, LATIN, MIN_FREQ, N_BIGRAMS, N_TERMS, NEIGHBOURS
+from themata.checks.queries import GREEK, LATIN, MIN_FREQ, N_BIGRAMS, N_TERMS, NEIGHBOURS, WIDE_TERMS
 from themata.functions import greek as G
 
 W = r"[\p{L}\p{N}_]"
@@ -237,6 +237,27 @@ def text_query(expression: str) -> str:
     return f"SELECT doc_id, {expression} AS text FROM documents"
 
 
+def first_axis(entry: str) -> str:
+    """Leading axis of a matrix over the vectors' columns by power iteration; ``entry`` is a cell from columns a.x, b.x."""
+    return power(
+        f"{V}, {DIMS}, cells AS (SELECT a.dim AS i, b.dim AS j, {entry} AS c FROM dims a JOIN dims b USING (id) GROUP BY ALL)", 4000
+    ) + " SELECT (generate_subscripts(x, 1) - 1)::INT AS dim, round(abs(unnest(x)), 7) AS weight FROM axis"
+
+
+def power(cells: str, steps: int) -> str:
+    """``axis(x, value)``: leading unit vector and its eigenvalue, from ``cells(i, j, c)``."""
+    return f"""WITH RECURSIVE {cells},
+lines AS (SELECT i, list(c ORDER BY j) AS r FROM cells GROUP BY i),
+m AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM lines),
+power AS (
+  SELECT 0 AS step, list_transform(range(len(m)), lambda i: 1.0::DOUBLE / (1 + i)) AS x, 0::DOUBLE AS value FROM m
+  UNION ALL
+  SELECT step + 1, list_transform(y, lambda e: e / sqrt(list_inner_product(y, y))), sqrt(list_inner_product(y, y))
+  FROM (SELECT step, list_transform(m, lambda r: list_inner_product(r, x)) AS y FROM power, m WHERE step < {steps})
+),
+axis AS (SELECT x, value FROM power WHERE step = {steps})"""
+
+
 LATIN1, CP1251 = latin_to("cp1251")
 NGRAM = with_(TOK, WORDS, PAIRS, UNI, BI, PMI, KEPT)
 APPENDED = f"""{TOK}, {WORDS}, {PAIRS}, {UNI}, {BI}, {PMI}, {KEPT},
@@ -319,6 +340,18 @@ ORDER BY mi DESC, df_a, term_a, df_b, term_b LIMIT 1000""",
     "tx_log": f"{with_(BASE)} SELECT doc_id, term_id, round(ln(1 + w), 9) AS w FROM train",
     "tx_none": f"{with_(BASE)} SELECT doc_id, term_id, round(w, 9) AS w FROM train",
     "tx_test": f"{with_(TESTED, ENTROPY)} SELECT doc_id, term_id, round(e * ln(1 + w), 9) AS w FROM tst JOIN ent USING (term_id)",
+    "pca_first_axis": first_axis("covar_samp(a.x, b.x)"),
+    "svd_first_axis": first_axis("sum(a.x * b.x)"),
+    # the documents' places on the first axis are the leading vector of their centred products, times the root of its value
+    "pca_wide": power(f"""{TOK}, {WORDS}, {CLASS}, {selection(WIDE_TERMS)},
+has AS MATERIALIZED (SELECT DISTINCT doc_id, term_id FROM words JOIN sel USING (term)),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM has a JOIN has b USING (term_id) GROUP BY ALL),
+pairs AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, coalesce(c, 0)::DOUBLE AS c
+  FROM documents a CROSS JOIN documents b LEFT JOIN shared ON shared.a = a.doc_id AND shared.b = b.doc_id),
+means AS (SELECT i, avg(c) AS m FROM pairs GROUP BY i),
+cells AS (SELECT i, j, c - a.m - b.m + (SELECT avg(c) FROM pairs) AS c FROM pairs JOIN means a USING (i) JOIN means b ON b.i = j)""", 120)
+    + ", ids AS (SELECT list(doc_id ORDER BY doc_id) AS ids FROM documents) "
+    "SELECT unnest(ids) AS doc_id, round(sqrt(value) * abs(unnest(x)), 6) AS first_axis FROM axis, ids",
     "lda_scatter": f"""{with_(V, DIMS, MEANS)},
 n AS (SELECT label, count(*) AS n, count(*) / (SELECT count(*) FROM v) AS p FROM v GROUP BY label),
 grand AS (SELECT dim, avg(x) AS g FROM dims GROUP BY dim),

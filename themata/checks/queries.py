@@ -22,6 +22,7 @@ from themata.sources import lexicon, raw
 from themata.sources.store import StageStore, input_fingerprint
 
 N_TERMS = 3000
+WIDE_TERMS = 100_000
 N_BIGRAMS, MIN_FREQ = 3000, 5
 NEIGHBOURS = 10
 
@@ -296,6 +297,25 @@ def reduced(method, k=8):
     return lambda spark, sf: reduce.fit_reduction(vectors(spark, sf), method, k).transform(vectors(spark, sf))
 
 
+def first_axis(method):
+    """The leading axis up to its sign, one row a column."""
+
+    def query(spark, sf):
+        fitted = reduce.fit_reduction(vectors(spark, sf), method, 1)
+        cells = [(i, abs(float(x))) for i, x in enumerate(fitted.components[:, 0])]
+        return spark.createDataFrame(cells, "dim int, weight double").withColumn("weight", F.round("weight", 7))
+
+    return query
+
+
+def pca_wide(spark, sf):
+    """Documents over up to 100,000 terms, reduced to 70 axes; their places on the first one up to its sign."""
+    m, t = features(spark, sf, "binary", WIDE_TERMS)
+    rows = materialise(m.vectors(t))
+    scored = reduce.fit_pca(rows, 70).transform(rows)
+    return scored.select("doc_id", F.round(F.abs(F.get("features", F.lit(0))), 6).alias("first_axis"))
+
+
 def reduce_test(spark, sf):
     """Terms of one corpus reduced, then applied to another."""
     m, t = features(spark, sf, "binary")
@@ -492,6 +512,9 @@ QUERIES = {
     # reductions
     "pca": reduced("PCA"),
     "svd_project": reduced("SVD"),
+    "pca_first_axis": first_axis("PCA"),
+    "svd_first_axis": first_axis("SVD"),
+    "pca_wide": pca_wide,
     "lda_scatter": lda_scatter,
     "lda_project": reduced("LDA"),
     "reduce_test": reduce_test,

@@ -8,13 +8,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
-from themata.functions.blocks import as_vector, cross_product, is_vector, map_rows
+from themata.functions.blocks import DOUBLES, as_vector, cross_product, is_vector, lists, width_of
+from themata.operators.wide import Axes, covariance_axes, times, top_axes
+
+#: Columns up to which a columns x columns matrix is formed, in tasks and on the driver (128 MB).
+MATRIX_WIDTH = 4096
 
 
 @dataclass
@@ -26,9 +31,14 @@ class Projection:
     variances: np.ndarray
 
     def transform(self, df: DataFrame, column: str = "features") -> DataFrame:
-        matrix, shift = self.components, self.mean @ self.components
+        components, shift = self.components, self.mean @ self.components
         source = F.col(column) if is_vector(df, column) else F.col(column).cast("array<double>")
-        return df.withColumn(column, map_rows(source, matrix.shape[0], lambda x: x @ matrix - shift))
+
+        @F.arrow_udf(DOUBLES)
+        def project(values: pa.Array) -> pa.Array:
+            return lists(times(values, components) - shift)
+
+        return df.withColumn(column, project(source))
 
 
 def fixed_signs(components: np.ndarray) -> np.ndarray:
@@ -54,24 +64,37 @@ def class_means(df: DataFrame, column: str = "features", label: str = "label") -
 
 
 def fit_pca(df: DataFrame, k: int, column: str = "features") -> Projection:
-    """Centred PCA: eigenvectors of the covariance, which tasks sum and the driver (width x width) decomposes.
-    The mean is taken off after the product, so sparse rows stay sparse."""
-    vectors = df.select(as_vector(df, column).alias("v"))
-    mean = vectors.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()
-    values, axes = np.linalg.eigh(covariance(df, column))
-    k = min(k, len(mean))
-    values = np.maximum(values[::-1], 0.0)
-    total = values.sum()
-    return Projection(fixed_signs(axes[:, ::-1][:, :k]), mean, values[:k] / total if total else values[:k])
+    """Centred PCA. Up to ``MATRIX_WIDTH`` columns tasks sum the covariance in one pass and the driver finds its leading
+    axes; wider tables take passes over the rows instead, see ``wide``. The mean is taken off after the product, so
+    sparse rows stay sparse."""
+    width = width_of(df, column)
+    if width > MATRIX_WIDTH:
+        axes, mean, total = covariance_axes(df, k, column)
+    else:
+        vectors = df.select(as_vector(df, column).alias("v"))
+        mean = vectors.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()
+        whole = covariance(df, column)
+        axes, total = _matrix_axes(whole, k), float(np.trace(whole))
+    return Projection(fixed_signs(axes.vectors), mean, axes.values / total if total else axes.values)
 
 
 def fit_svd(df: DataFrame, k: int, column: str = "features") -> Projection:
-    """Top right-singular vectors of the uncentred matrix; ``variances`` holds singular values."""
-    vectors = df.select(as_vector(df, column).alias("v"))
-    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"))
-    result = rows.computeSVD(min(k, rows.numCols()))
-    components = fixed_signs(result.V.toArray())
-    return Projection(components, np.zeros(components.shape[0]), result.s.toArray())
+    """Top right-singular vectors of the uncentred matrix; ``variances`` holds singular values. Wide tables as for PCA."""
+    width = width_of(df, column)
+    if width > MATRIX_WIDTH:
+        axes, _, _ = covariance_axes(df, k, column, centred=False)
+    else:
+        axes = _matrix_axes(cross_product(df, column, width), k)
+    return Projection(fixed_signs(axes.vectors), np.zeros(width), np.sqrt(axes.values))
+
+
+def _matrix_axes(whole: np.ndarray, k: int) -> Axes:
+    """Leading axes of a matrix at hand: all of them where it is small, else by subspaces."""
+    if len(whole) <= 512 or 4 * k > len(whole):
+        values, vectors = np.linalg.eigh(whole)
+        k = min(k, len(whole))
+        return Axes(vectors[:, ::-1][:, :k], np.maximum(values[::-1][:k], 0.0), np.zeros(k), 0)
+    return top_axes(lambda w: whole @ w, len(whole), k)
 
 
 @dataclass
