@@ -36,10 +36,14 @@ class CentroidModel:
             return lambda x: np.stack([(((x - m) @ white) ** 2).sum(1) for m in means], axis=1)
         return lambda x: np.stack([((x - m) ** 2).sum(1) for m in means], axis=1)
 
+    def scorer(self):
+        """Function from a block of rows to rows x classes, the best class largest."""
+        distance = self._distance()
+        return lambda x: -distance(x)
+
     def predict(self, df: DataFrame, column: str = "features") -> DataFrame:
         """Add ``prediction``: the nearest class mean, the first class on a tie. Narrow."""
-        distance = self._distance()
-        picked = best_class(features_of(df, column), self.means.shape[1], lambda x: -distance(x), self.labels)
+        picked = best_class(features_of(df, column), self.means.shape[1], self.scorer(), self.labels)
         return df.withColumn("prediction", picked)
 
 
@@ -75,15 +79,15 @@ class GaussianNBModel:
     variances: np.ndarray
     priors: np.ndarray
 
-    def predict(self, df: DataFrame, column: str = "features") -> DataFrame:
-        """Add ``prediction``: largest log prior plus sum of log densities (no underflow). Narrow."""
+    def scorer(self):
+        """Function from a block of rows to rows x classes: log prior plus sum of log densities (no underflow)."""
         means, var, prior = self.means, self.variances, np.log(self.priors)
         constant = prior - 0.5 * np.log(2 * np.pi * var).sum(1)
+        return lambda x: np.stack([c - 0.5 * ((x - m) ** 2 / v).sum(1) for c, m, v in zip(constant, means, var)], axis=1)
 
-        def scores(x: np.ndarray) -> np.ndarray:
-            return np.stack([c - 0.5 * ((x - m) ** 2 / v).sum(1) for c, m, v in zip(constant, means, var)], axis=1)
-
-        return df.withColumn("prediction", best_class(features_of(df, column), means.shape[1], scores, self.labels))
+    def predict(self, df: DataFrame, column: str = "features") -> DataFrame:
+        """Add ``prediction``: the class of the largest score. Narrow."""
+        return df.withColumn("prediction", best_class(features_of(df, column), self.means.shape[1], self.scorer(), self.labels))
 
 
 def fit_gnb(df: DataFrame, column="features", label="label", prior: str = "rows") -> GaussianNBModel:
@@ -92,10 +96,11 @@ def fit_gnb(df: DataFrame, column="features", label="label", prior: str = "rows"
     if prior not in ("rows", "positive_cells"):
         raise ValueError(f"no such prior: {prior}")
     rows = sorted(gnb_stats(df, column, label).collect(), key=lambda r: r["label"])
-    variances = np.array([r["variance"] for r in rows])
-    floor = 1e-9 * max(variances.max(), 1e-12)
     weight = "prior" if prior == "rows" else "prior_positive_cells"
-    priors = np.maximum(np.array([r[weight] for r in rows], float), 1e-300)
-    return GaussianNBModel(
-        [r["label"] for r in rows], np.array([r["mean"] for r in rows]), np.maximum(variances, floor), priors
-    )
+    return gnb_model(*([r[c] for r in rows] for c in ("label", "mean", "variance", weight)))
+
+
+def gnb_model(labels: list, means, variances, priors) -> GaussianNBModel:
+    variances = np.array(variances)
+    floor = 1e-9 * max(variances.max(), 1e-12)
+    return GaussianNBModel(labels, np.array(means), np.maximum(variances, floor), np.maximum(np.array(priors, float), 1e-300))

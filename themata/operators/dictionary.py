@@ -86,14 +86,19 @@ def class_variance(tf: DataFrame, n_classes: int | Column) -> DataFrame:
     return tf.groupBy("term").agg(population_variance_with_zeros(F.col("tf"), classes).alias("var"))
 
 
+def by_variance(variance: DataFrame, digits: int = 10) -> tuple[DataFrame, list[Column]]:
+    """The table with key columns of its own, or each comparison of a sort would round again, and the order of
+    ``select_terms`` by them."""
+    power = F.when(F.col("var") > 0, F.floor(F.log10("var")))
+    keyed = variance.withColumn("__power", power).withColumn("__key", F.round(F.col("var") / F.pow(F.lit(10.0), "__power"), digits))
+    return keyed, [F.desc_nulls_last("__power"), F.desc("__key"), F.asc("term")]
+
+
 def select_terms(variance: DataFrame, n_dims: int, digits: int = 10) -> DataFrame:
     """The ``n_dims`` terms of largest variance. Variances that agree to ``digits`` decimals of their leading
     figure count as equal, whatever their size, and are ordered by the term, so the cut does not depend on
     summation order."""
-    # key columns of their own, or each comparison of the sort would round again
-    power = F.when(F.col("var") > 0, F.floor(F.log10("var")))
-    keyed = variance.withColumn("__power", power).withColumn("__key", F.round(F.col("var") / F.pow(F.lit(10.0), "__power"), digits))
-    order = [F.desc_nulls_last("__power"), F.desc("__key"), F.asc("term")]
+    keyed, order = by_variance(variance, digits)
     return keyed.orderBy(*order).limit(n_dims).drop("__power", "__key")
 
 

@@ -41,9 +41,9 @@ class MixtureModel:
     width: int
     history: list = field(default_factory=list)
 
-    def predict(self, df: DataFrame, column: str = "features", score: str = "components") -> DataFrame:
-        """Add ``prediction``. ``components``: largest sum over components of the log density, without
-        weights or priors; ``mixture``: largest weighted log-sum-exp."""
+    def scorer(self, score: str = "components"):
+        """Function from a block of rows to rows x classes. ``components``: sum over components of the log density,
+        without weights or priors; ``mixture``: weighted log-sum-exp."""
         if score not in ("components", "mixture"):
             raise ValueError(f"no such score: {score}")
         labels = sorted(self.parts)
@@ -59,7 +59,11 @@ class MixtureModel:
                     out.append(np.logaddexp.reduce(logs + np.log([w for w, _, _ in parts[label]]), axis=1))
             return np.stack(out, axis=1)
 
-        return df.withColumn("prediction", best_class(features_of(df, column), self.width, scores, labels))
+        return scores
+
+    def predict(self, df: DataFrame, column: str = "features", score: str = "components") -> DataFrame:
+        """Add ``prediction``, the class of the largest score."""
+        return df.withColumn("prediction", best_class(features_of(df, column), self.width, self.scorer(score), sorted(self.parts)))
 
 
 def _inverse_root(covariance_: np.ndarray, reg_covar: float = REG_COVAR) -> np.ndarray:

@@ -88,6 +88,13 @@ def fit_svd(df: DataFrame, k: int, column: str = "features") -> Projection:
     return Projection(fixed_signs(axes.vectors), np.zeros(width), np.sqrt(axes.values))
 
 
+def pca_of_moments(n: int, total: np.ndarray, products: np.ndarray, k: int) -> Projection:
+    """Centred PCA from the number of rows, their sum and the sum of their outer products."""
+    whole = (products - np.outer(total, total) / n) / max(n - 1, 1)
+    axes, trace = _matrix_axes(whole, k), float(np.trace(whole))
+    return Projection(fixed_signs(axes.vectors), total / n, axes.values / trace if trace > 0 else axes.values)
+
+
 def _matrix_axes(whole: np.ndarray, k: int) -> Axes:
     """Leading axes of a matrix at hand: all of them where it is small, else by subspaces."""
     if len(whole) <= 512 or 4 * k > len(whole):

@@ -142,14 +142,36 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"stripe": table["stripe"].slice(0, 1), "part": table["part"].slice(0, 1), "s": pa.array([total.tobytes()], pa.binary())})
 
 
+def summed(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """Sum of the matrices that ``partial`` makes of the Arrow batches of each task. They travel in stripes of rows and
+    are added up in two levels, so that no task holds more than a share of them."""
+
+    def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = partial(batches)
+        group = TaskContext.get().partitionId() % GROUPS
+        for number in range(-(-len(total) // STRIPE)):
+            stripe = total[number * STRIPE : (number + 1) * STRIPE]
+            if stripe.any():
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([group], pa.int32()), pa.array([stripe.tobytes()], pa.binary())], ["stripe", "part", "s"])
+
+    parts = df.mapInArrow(stripes, _STRIPES)
+    for keys in (["stripe", "part"], ["stripe"]):
+        parts = parts.groupBy(*keys).applyInArrow(_added, _STRIPES)
+    out = np.zeros(shape)
+    found = parts.toArrow()
+    for number, values in zip(found["stripe"].to_pylist(), found["s"].to_pylist()):
+        out[number * STRIPE : (number + 1) * STRIPE] = np.frombuffer(values).reshape(-1, shape[1])
+    return out
+
+
 def gram_times(df: DataFrame, column: str, block: np.ndarray) -> np.ndarray:
     """X^T (X block) over all rows of a vector column; ``block`` is columns x directions."""
-    width, directions = block.shape
+    width = len(block)
     shared = df.sparkSession.sparkContext.broadcast(block)  # columns x directions, as the driver itself holds
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         w = shared.value
-        total = np.zeros((width, directions))
+        total = np.zeros(w.shape)
         for batch in batches:
             for begin in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.column(0).slice(begin, CHUNK_ROWS)
@@ -158,19 +180,9 @@ def gram_times(df: DataFrame, column: str, block: np.ndarray) -> np.ndarray:
                     total += x.T @ (x @ w)
                 else:
                     _add_sparse(total, part, w)
-        group = TaskContext.get().partitionId() % GROUPS
-        for number in range(-(-width // STRIPE)):
-            stripe = total[number * STRIPE : (number + 1) * STRIPE]
-            if stripe.any():
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([group], pa.int32()), pa.array([stripe.tobytes()], pa.binary())], ["stripe", "part", "s"])
+        return total
 
-    parts = df.select(as_vector(df, column).alias("v")).mapInArrow(partial, _STRIPES)
-    for keys in (["stripe", "part"], ["stripe"]):
-        parts = parts.groupBy(*keys).applyInArrow(_added, _STRIPES)
-    out = np.zeros((width, directions))
-    found = parts.toArrow()
-    for number, values in zip(found["stripe"].to_pylist(), found["s"].to_pylist()):
-        out[number * STRIPE : (number + 1) * STRIPE] = np.frombuffer(values).reshape(-1, directions)
+    out = summed(df.select(as_vector(df, column).alias("v")), partial, block.shape)
     shared.unpersist()
     return out
 
