@@ -258,6 +258,19 @@ power AS (
 axis AS (SELECT x, value FROM power WHERE step = {steps})"""
 
 
+# The terms that the documents outside of each of five folds select.
+FOLDED = f"""{TOK}, {WORDS}, folds AS (SELECT range::INT AS fold FROM range(5)),
+fcls AS MATERIALIZED (SELECT fold, label, term, count(*) AS n, count(DISTINCT doc_id) AS df FROM folds JOIN words ON doc_id % 5 <> fold GROUP BY ALL),
+ftf AS MATERIALIZED (SELECT *, n / sum(n) OVER (PARTITION BY fold, label) AS tf FROM fcls),
+fk AS (SELECT fold, count(DISTINCT lang)::DOUBLE AS c, count(*) AS docs FROM folds JOIN documents ON doc_id % 5 <> fold GROUP BY fold),
+fmean AS (SELECT fold, term, sum(tf) / any_value(c) AS m, count(*) AS present, any_value(c) AS c, sum(df)::BIGINT AS df, any_value(docs) AS docs
+  FROM ftf JOIN fk USING (fold) GROUP BY fold, term),
+fvar AS (SELECT fold, term, (sum((tf - m) * (tf - m)) + (any_value(c) - any_value(present)) * any_value(m) * any_value(m)) / any_value(c) AS var,
+  any_value(fmean.df) AS df, any_value(docs) AS docs FROM ftf JOIN fmean USING (fold, term) GROUP BY fold, term),
+fpower AS (SELECT *, CASE WHEN var > 0 THEN floor(log10(var)) END AS power FROM fvar),
+fsel AS MATERIALIZED (SELECT fold, term, var, df, docs, row_number() OVER (
+  PARTITION BY fold ORDER BY power DESC NULLS LAST, round(var / pow(10.0, power), 10) DESC, term) AS rank FROM fpower QUALIFY rank <= {N_TERMS})"""
+
 LATIN1, CP1251 = latin_to("cp1251")
 NGRAM = with_(TOK, WORDS, PAIRS, UNI, BI, PMI, KEPT)
 APPENDED = f"""{TOK}, {WORDS}, {PAIRS}, {UNI}, {BI}, {PMI}, {KEPT},
@@ -386,6 +399,21 @@ sc AS (SELECT fold, id, any_value(dims.label) AS label, st.label AS cand, sum((x
   FROM dims JOIN st ON st.dim = dims.dim AND id % 5 = fold GROUP BY fold, id, st.label),
 picks AS (SELECT fold, id, label, arg_min(cand, d2) AS p FROM sc GROUP BY fold, id, label)
 SELECT fold::INT AS fold, 'MEAN' AS method, round(avg((p = label)::INT), 9) AS accuracy FROM picks GROUP BY fold""",
+    "kfold_terms": f"{with_(FOLDED)} SELECT fold, rank::INT AS rank, term, round(var, 12) AS var, df, round(ln(docs::DOUBLE / df), 9) AS idf FROM fsel",
+    # a binary cell x adds (2 x m - m^2 - x) / 2 s2 to the log density, so only present terms are rows
+    "kfold_nb": f"""{with_(FOLDED)},
+has AS MATERIALIZED (SELECT DISTINCT fold, doc_id, label, term FROM words JOIN fsel USING (term) WHERE df < docs),
+sizes AS (SELECT fold, lang AS label, count(*) AS n FROM folds JOIN documents ON doc_id % 5 <> fold GROUP BY ALL),
+held AS (SELECT fold, label, term, count(*) AS n FROM has WHERE doc_id % 5 <> fold GROUP BY ALL),
+p AS (SELECT sizes.fold, sizes.label, term, coalesce(held.n, 0) / sizes.n AS m FROM sizes JOIN fsel USING (fold) LEFT JOIN held USING (fold, label, term)),
+g AS MATERIALIZED (SELECT fold, label, term, m, greatest(m * (1 - m), 1e-9 * max(m * (1 - m)) OVER (PARTITION BY fold)) AS s2 FROM p),
+base AS (SELECT fold, label, sum(-0.5 * ln(2 * pi() * s2) - m * m / (2 * s2)) AS b FROM g GROUP BY ALL),
+prior AS (SELECT fold, label, ln(n / sum(n) OVER (PARTITION BY fold)) AS lp FROM sizes),
+gains AS (SELECT has.fold, doc_id, g.label, sum((2 * m - 1) / (2 * s2)) AS gain FROM has JOIN g USING (fold, term) WHERE doc_id % 5 = has.fold GROUP BY ALL),
+scored AS (SELECT base.fold, d.doc_id, d.lang AS truth, base.label, b + lp + coalesce(gain, 0) AS score
+  FROM documents d JOIN base ON d.doc_id % 5 = base.fold JOIN prior USING (fold, label) LEFT JOIN gains ON gains.fold = base.fold AND gains.doc_id = d.doc_id AND gains.label = base.label),
+picks AS (SELECT fold, doc_id, any_value(truth) AS truth, arg_max(label, score) AS pick FROM scored GROUP BY fold, doc_id)
+SELECT fold, 'NB' AS method, round(avg((pick = truth)::INT), 9) AS accuracy FROM picks GROUP BY fold""",
     "score_labels": f"{GRID} SELECT method, CASE method WHEN 'MEAN' THEN 'metric=' ELSE 'prior=' END || value AS label, "
     "round(100 * accuracy, 1) AS percent FROM grid",
     "score_series": f"{GRID} SELECT method AS series, "

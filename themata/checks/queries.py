@@ -16,7 +16,7 @@ from themata.functions.greek import stem_vocabulary
 from themata.operators import centroids, dictionary as D, evaluate, labels, neighbours, ngrams
 from themata.operators import pairs, reduce, weights
 from themata.operators.preprocess import drop_stopwords, mark_lexicon, preprocess
-from themata.plans import experiments
+from themata.plans import experiments, folds
 from themata.plans.features import FeatureModel
 from themata.sources import lexicon, raw
 from themata.sources.store import StageStore, input_fingerprint
@@ -444,6 +444,31 @@ def kfold_centroid(spark, sf):
     return scores.select("fold", "method", F.round("accuracy", 9).alias("accuracy"))
 
 
+def by_fifth():
+    return F.pmod("doc_id", F.lit(5)).cast("int")
+
+
+def kfold_terms(spark, sf):
+    found = folds.fold_terms(tokens(spark, sf), by_fifth(), 5, N_TERMS)
+    return found.select("fold", "rank", "term", F.round("var", 12).alias("var"), "df", F.round("idf", 9).alias("idf"))
+
+
+def kfold_nb(spark, sf):
+    """Naive Bayes over the terms themselves, five folds."""
+    chain = folds.fit_chain(tokens(spark, sf), by_fifth(), 5, N_TERMS, components=None)
+    return folds.fold_scores(chain, [{"method": "NB"}]).select("fold", "method", F.round("accuracy", 9).alias("accuracy"))
+
+
+def kfold_all(spark, sf):
+    """The whole chain, bigrams and 70 axes included, in five folds, with every model that moments determine."""
+    t = staged_tokens(spark, sf)
+    both = ngrams.append_bigrams(t, ngrams.fit_bigrams(t, N_BIGRAMS, MIN_FREQ), N_BIGRAMS)
+    models = [{"method": "NB"}, *({"method": "MEAN", "metric": m} for m in ("euclidean", "cosine", "mahalanobis")),
+              *({"method": "GMM", "covariance_type": c, "n_components": 1} for c in ("full", "diag"))]
+    scores = folds.fold_scores(folds.fit_chain(both, by_fifth(), 5, N_TERMS, components=70), models)
+    return scores.withColumn("params", F.array_join(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])), ","))
+
+
 def score_labels(spark, sf):
     return evaluate.score_labels(centroid_grid(spark, sf))
 
@@ -546,6 +571,9 @@ QUERIES = {
     "accuracy": accuracy,
     "grid_centroid": grid_scores,
     "kfold_centroid": kfold_centroid,
+    "kfold_terms": kfold_terms,
+    "kfold_nb": kfold_nb,
+    "kfold_all": kfold_all,
     "score_labels": score_labels,
     "score_series": score_series,
 }
