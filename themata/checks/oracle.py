@@ -131,6 +131,25 @@ votes AS (SELECT id, label, count(*) AS n FROM ranked WHERE rn <= {NEIGHBOURS} G
 SELECT id, label AS prediction FROM votes QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, label) = 1"""
 
 
+def inverse(condition: str = "true") -> str:
+    """``inv(m)``: the inverse of the vectors' covariance by Gauss-Jordan elimination, as a list of rows."""
+    return f"""cov AS (SELECT a.dim AS i, b.dim AS j, covar_samp(a.x, b.x) AS c FROM dims a JOIN dims b USING (id) WHERE {condition} GROUP BY ALL),
+lines AS (SELECT i, list(c ORDER BY j) AS r FROM cov GROUP BY i),
+wide AS (SELECT list(list_concat(r, list_transform(range(len(r)), lambda e: (e = i)::INT::DOUBLE)) ORDER BY i) AS a FROM lines),
+steps AS (
+  SELECT 0 AS p, a FROM wide
+  UNION ALL
+  SELECT p + 1, list_transform(a, lambda line, k: CASE WHEN k = p + 1 THEN list_transform(line, lambda e: e / lead_)
+    ELSE list_transform(list_zip(line, chosen), lambda z: z[1] - z[2] * line[p + 1] / lead_) END)
+  FROM (SELECT p, a, a[p + 1] AS chosen, a[p + 1][p + 1] AS lead_ FROM steps WHERE p < len(a))
+),
+inv AS MATERIALIZED (SELECT list_transform(a, lambda line: line[len(a) + 1:]) AS m FROM steps WHERE p = len(a)),
+white AS MATERIALIZED (SELECT id, label, x, list_transform(m, lambda r: list_inner_product(r, x)) AS y FROM v, inv)"""
+
+
+MAHALANOBIS = "list_inner_product(q.x, q.y) - 2 * list_inner_product(q.x, t.y) + list_inner_product(t.x, t.y)"
+
+
 def nearest_centre(distance: str) -> str:
     return f"""{with_(V, DIMS, MEANS, CENTRES)}
 SELECT id, centres.label AS prediction FROM v, centres
@@ -382,6 +401,22 @@ JOIN n ON n.label = a.label GROUP BY a.dim, b.dim""",
     "knn_euclidean": knn("list_distance(q.x, t.x)"),
     "knn_cosine": knn("1 - list_cosine_similarity(q.x, t.x)"),
     "knn_custom_metric": knn("list_sum(list_transform(list_zip(q.x, t.x), lambda p: abs(p[1] - p[2])))"),
+    "knn_mahalanobis": f"""WITH RECURSIVE {V}, {DIMS}, {inverse()},
+ranked AS (SELECT q.id, t.label, row_number() OVER (PARTITION BY q.id ORDER BY {MAHALANOBIS}, t.id) AS rn FROM white q, white t),
+votes AS (SELECT id, label, count(*) AS n FROM ranked WHERE rn <= {NEIGHBOURS} GROUP BY ALL)
+SELECT id, label AS prediction FROM votes QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, label) = 1""",
+    "centroid_mahalanobis": f"""WITH RECURSIVE {V}, {DIMS}, {MEANS}, {CENTRES}, {inverse()},
+off AS (SELECT id, centres.label, list_transform(list_zip(x, c), lambda p: p[1] - p[2]) AS d FROM v, centres)
+SELECT id, label AS prediction FROM off, inv
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY list_inner_product(d, list_transform(m, lambda r: list_inner_product(r, d))), label) = 1""",
+    "grid_knn": f"""WITH RECURSIVE {V}, {DIMS}, {inverse("id % 5 <> 0")},
+found AS MATERIALIZED (SELECT q.id, q.label AS truth, t.id AS other, t.label, [list_distance(q.x, t.x), 1 - list_cosine_similarity(q.x, t.x), {MAHALANOBIS}] AS d
+  FROM white q, white t WHERE q.id % 5 = 0 AND t.id % 5 <> 0),
+each AS (SELECT id, truth, other, label, unnest(['euclidean', 'cosine', 'mahalanobis']) AS metric, unnest(d) AS d FROM found),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY metric, id ORDER BY d, other) AS rn FROM each),
+votes AS (SELECT metric, n_neighbors, id, truth, label, count(*) AS n FROM ranked JOIN (SELECT unnest([5, 10, 20]) AS n_neighbors) ON rn <= n_neighbors GROUP BY ALL),
+picks AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY metric, n_neighbors, id ORDER BY n DESC, label) = 1)
+SELECT metric, n_neighbors, round(avg((label = truth)::INT), 9) AS accuracy FROM picks GROUP BY ALL""",
     "centroids": f"{with_(V, DIMS, MEANS)} SELECT label, dim::INT AS dim, round(m, 9) AS mean FROM means",
     "centroid_euclidean": nearest_centre("list_distance(x, c)"),
     "centroid_cosine": nearest_centre("1 - list_cosine_similarity(x, c)"),

@@ -16,7 +16,7 @@ from themata.functions.greek import stem_vocabulary
 from themata.operators import centroids, dictionary as D, evaluate, labels, neighbours, ngrams
 from themata.operators import pairs, reduce, weights
 from themata.operators.preprocess import drop_stopwords, mark_lexicon, preprocess
-from themata.plans import experiments, folds
+from themata.plans import experiments, folds, grids
 from themata.plans.features import FeatureModel
 from themata.sources import lexicon, raw
 from themata.sources.store import StageStore, input_fingerprint
@@ -436,6 +436,31 @@ def grid_scores(spark, sf):
         "method", params.alias("params"), F.round("accuracy", 9).alias("accuracy"))
 
 
+def grid_knn(spark, sf):
+    """Nine sets of neighbours: three searches, of which each serves three numbers."""
+    v = vectors(spark, sf)
+    scores = grids.shared_grid(v.where("id % 5 <> 0"), v.where("id % 5 = 0"), experiments.grids()["KNN"])
+    return scores.select(F.col("params.metric").alias("metric"), F.col("params.n_neighbors").cast("int").alias("n_neighbors"), F.round("accuracy", 9).alias("accuracy"))
+
+
+def document_grid(sets):
+    """Parameter sets compared on documents by language, fitted on four of five; common work is done once."""
+
+    def query(spark, sf):
+        t = staged_tokens(spark, sf)
+        tested = F.col("doc_id") % 5 == 0
+        train, test = experiments.text_vectors(t.where(~tested), t.where(tested), n_dims=N_TERMS)
+        scores = grids.shared_grid(train, test, sets())
+        return scores.withColumn("params", F.array_join(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])), ","))
+
+    return query
+
+
+def swept_networks():
+    """The learning rates of the sweep, at its largest batch size: a step is a job."""
+    return [p for p in experiments.grids()["ANN"] if p["batch_size"] == 80]
+
+
 def kfold_centroid(spark, sf):
     def fit_and_score(train, test):
         return experiments.parameter_grid(train, test, [{"method": "MEAN", "metric": "euclidean"}])
@@ -570,6 +595,11 @@ QUERIES = {
     # evaluation
     "accuracy": accuracy,
     "grid_centroid": grid_scores,
+    "grid_knn": grid_knn,
+    "grid_forest": document_grid(lambda: experiments.grids()["RandomForest"]),
+    "grid_svm": document_grid(lambda: [p for p in experiments.grids()["SVM"] if p["kernel"] == "linear"]),
+    "grid_gmm": document_grid(lambda: [p for p in experiments.grids()["GMM"] if p["n_components"] <= 6]),
+    "sweep_ann": document_grid(swept_networks),
     "kfold_centroid": kfold_centroid,
     "kfold_terms": kfold_terms,
     "kfold_nb": kfold_nb,

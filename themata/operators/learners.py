@@ -7,8 +7,9 @@ from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import materialise
@@ -86,12 +87,20 @@ class SVMModel:
         return df.withColumn("prediction", best_class(features_of(df, column), self.width, votes, self.labels))
 
 
-def fit_svm(
-    df: DataFrame, kernel: str = "rbf", C: float = 1.0, gamma="scale", degree: int = 3, random_features: int = 512,
-    max_iter: int = 100, seed: int = 0, parallelism: int = 4, column: str = "features", label: str = "label",
-) -> SVMModel:
-    """One linear machine per pair of classes, on kernel features. The kernels are approximate by
-    design: an exact solver needs all rows in one place."""
+@dataclass
+class KernelRows:
+    """Stored rows ``(label, v)`` in a kernel's features, with the rows of each class."""
+
+    data: DataFrame
+    sizes: dict
+    mapping: KernelMap
+    width: int
+
+
+def kernel_rows(
+    df: DataFrame, kernel: str = "rbf", gamma="scale", degree: int = 3, random_features: int = 512, seed: int = 0,
+    column: str = "features", label: str = "label",
+) -> KernelRows:
     if kernel not in KERNELS:
         raise ValueError(f"no such kernel: {kernel}")
     width = width_of(df, column)
@@ -100,19 +109,33 @@ def fit_svm(
     mapped = map_rows(features_of(df, column), width, mapping)
     data = materialise(df.select(F.col(label).alias("label"), array_to_vector(mapped).alias("v")))
     sizes = {r["label"]: r["count"] for r in data.groupBy("label").count().collect()}
-    labels = sorted(sizes)
+    return KernelRows(data, sizes, mapping, width)
+
+
+def fit_planes(rows: KernelRows, C: float = 1.0, max_iter: int = 100, parallelism: int = 4) -> SVMModel:
+    """One linear machine per pair of classes."""
+    data, sizes, labels = rows.data, rows.sizes, sorted(rows.sizes)
     pairs = list(combinations(range(len(labels)), 2))
 
     def fit_pair(pair):
         a, b = labels[pair[0]], labels[pair[1]]
-        rows = data.where(F.col("label").isin(a, b)).select("v", (F.col("label") == b).cast("double").alias("y"))
+        chosen = data.where(F.col("label").isin(a, b)).select("v", (F.col("label") == b).cast("double").alias("y"))
         reg = 1.0 / (C * (sizes[a] + sizes[b]))
-        model = LinearSVC(featuresCol="v", labelCol="y", regParam=reg, maxIter=max_iter, standardization=False).fit(rows)
+        model = LinearSVC(featuresCol="v", labelCol="y", regParam=reg, maxIter=max_iter, standardization=False).fit(chosen)
         return np.append(model.coefficients.toArray(), model.intercept)
 
     with ThreadPool(parallelism) as pool:
         planes = np.array(pool.map(fit_pair, pairs)).T
-    return SVMModel(labels, pairs, planes, mapping, width)
+    return SVMModel(labels, pairs, planes, rows.mapping, rows.width)
+
+
+def fit_svm(
+    df: DataFrame, kernel: str = "rbf", C: float = 1.0, gamma="scale", degree: int = 3, random_features: int = 512,
+    max_iter: int = 100, seed: int = 0, parallelism: int = 4, column: str = "features", label: str = "label",
+) -> SVMModel:
+    """One linear machine per pair of classes, on kernel features. The kernels are approximate by
+    design: an exact solver needs all rows in one place."""
+    return fit_planes(kernel_rows(df, kernel, gamma, degree, random_features, seed, column, label), C, max_iter, parallelism)
 
 
 @dataclass
@@ -129,6 +152,27 @@ class MLModel:
         return scored.select(*df.columns, picked.alias("prediction"))
 
 
+    def prefix_predictions(self, df: DataFrame, sizes: list[int], column: str = "features") -> DataFrame:
+        """Add ``predictions``: what the first ``n`` trees of a forest predict, for each of ``sizes``. Narrow: every tree
+        gives its class shares once."""
+        trees = self.model.trees[: max(sizes)]
+        scored = df.withColumn("__v", as_vector(df, column))
+        for i, tree in enumerate(trees):
+            tree = tree.copy().setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"__t{i}").setFeaturesCol("__v")
+            scored = tree.transform(scored)
+        shares = F.flatten(F.array(*[vector_to_array(f"__t{i}") for i in range(len(trees))]))
+        classes, count = len(self.names), len(trees)
+
+        @F.arrow_udf("array<int>")
+        def first(values: pa.Array) -> pa.Array:
+            votes = np.cumsum(values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), count, classes), axis=1)
+            return pa.array(list(votes[:, [n - 1 for n in sizes]].argmax(2)), pa.list_(pa.int32()))
+
+        names = F.array(*[F.lit(n) for n in self.names])
+        picked = F.transform(first(shares), lambda code: F.get(names, code))
+        return scored.select(*df.columns, picked.alias("predictions"))
+
+
 def _fit_ml(df: DataFrame, estimator, column: str, label: str) -> MLModel:
     numeric = dict(df.dtypes)[label] != "string"
     encoder = fit_labels(df.select(F.col(label).cast("string").alias("label")))

@@ -93,17 +93,59 @@ def fit_gmm_diag(
     return _fit("diag", df, n_components, max_iter, tol, reg_covar, seed, column, label)
 
 
+def fit_path(
+    kind: str, df: DataFrame, sizes: list[int], max_iter: int = 100, tol: float = 1e-3, reg_covar: float = REG_COVAR,
+    seed: int = 0, column: str = "features", label: str = "label",
+) -> dict[int, MixtureModel]:
+    """Mixtures of several sizes over one stage table. The smallest starts from k-means, each further one from the one
+    before, of which the heaviest components are split along their longest axis until there are enough."""
+    data = _staged(df, column, label)
+    width = _checked_width(kind, data)
+    out: dict[int, MixtureModel] = {}
+    for size in sorted(set(sizes)):
+        if out:
+            parts = {name: grown(kind, part, size) for name, part in out[max(out)].parts.items()}
+        else:
+            parts = _start(data, size, width, seed)
+        out[size] = _improve(kind, data, width, parts, max_iter, tol, reg_covar)
+    return out
+
+
+def grown(kind: str, parts: list, size: int) -> list:
+    """``parts`` with the heaviest components halved until there are ``size``."""
+    parts = list(parts)
+    while len(parts) < size:
+        weight, mean, spread = parts.pop(max(range(len(parts)), key=lambda i: parts[i][0]))
+        if kind == "full":
+            values, axes = np.linalg.eigh(spread @ spread.T)  # of the inverse, so the longest axis comes first
+            off = axes[:, 0] / np.sqrt(values[0])
+        else:
+            off = np.where(np.arange(len(mean)) == np.argmax(spread), np.sqrt(spread), 0.0)
+        parts += [(weight / 2, mean - off / 2, spread), (weight / 2, mean + off / 2, spread)]
+    return parts
+
+
 def _fit(kind: str, df: DataFrame, n_components: int, max_iter: int, tol: float, reg_covar: float, seed: int,
          column: str, label: str) -> MixtureModel:
-    """EM from k-means, all classes in one job per step.
+    """EM from k-means."""
+    data = _staged(df, column, label)
+    width = _checked_width(kind, data)
+    return _improve(kind, data, width, _start(data, n_components, width, seed), max_iter, tol, reg_covar)
 
-    A step broadcasts the parameters, each task sums responsibilities over bounded blocks, and a
-    shuffle adds up the partial sums. Every step reads the same stage table, so no lineage grows.
-    """
-    data = materialise(df.select(F.col(label).alias("label"), features_of(df, column).alias("x")))
+
+def _staged(df: DataFrame, column: str, label: str) -> DataFrame:
+    return materialise(df.select(F.col(label).alias("label"), features_of(df, column).alias("x")))
+
+
+def _checked_width(kind: str, data: DataFrame) -> int:
     width = width_of(data, "x")
     if kind == "full" and width > MAX_FULL_WIDTH:
         raise ValueError(f"full covariances wider than {MAX_FULL_WIDTH} columns: select or reduce terms first")
+    return width
+
+
+def _start(data: DataFrame, n_components: int, width: int, seed: int) -> dict:
+    """Centres by k-means for each class."""
     start = data.select("label", as_vector(data, "x").alias("v"))
     parts = {}
     for name in _labels(data, "label"):
@@ -112,7 +154,15 @@ def _fit(kind: str, df: DataFrame, n_components: int, max_iter: int, tol: float,
             continue
         fitted = KMeans(k=n_components, featuresCol="v", seed=seed, maxIter=20).fit(start.where(F.col("label") == name))
         parts[name] = ("hard", np.array(fitted.clusterCenters()))
+    return parts
+
 
+def _improve(kind: str, data: DataFrame, width: int, parts: dict, max_iter: int, tol: float, reg_covar: float) -> MixtureModel:
+    """EM, all classes in one job per step.
+
+    A step broadcasts the parameters, each task sums responsibilities over bounded blocks, and a
+    shuffle adds up the partial sums. Every step reads the same stage table, so no lineage grows.
+    """
     history, previous = [], -np.inf
     for _ in range(max_iter + 1):
         sums, log_likelihood, rows = _expect(data, width, parts, kind)
