@@ -239,6 +239,37 @@ def test_svm(clusters, kernel):
     assert score(model, clusters) > 0.9
 
 
+def test_planes_of_all_pairs_equal_single_fits(clusters):
+    from pyspark.ml.classification import LinearSVC
+
+    spread = clusters.select("id", "label", F.transform("features", lambda x: x / 4).alias("features"))
+    rows = learners.kernel_rows(spread, "linear")
+    fitted = learners.fit_all_planes(rows, [0.05, 1.0], max_iter=60)
+    for model, C in zip(fitted, (0.05, 1.0)):
+        for p, (a, b) in enumerate(model.pairs):
+            names = [model.labels[a], model.labels[b]]
+            own = rows.data.where(F.col("label").isin(names)).select("v", (F.col("label") == names[1]).cast("double").alias("y")).cache()
+            x = np.array([r["v"].toArray() for r in own.collect()])
+            sign = 2 * np.array([r["y"] for r in own.collect()]) - 1
+            reg = 1 / (C * len(x))
+
+            def loss(w, x=x, sign=sign, reg=reg):
+                return np.maximum(0, 1 - sign * (x @ w[:-1] + w[-1])).mean() + reg / 2 * (w[:-1] ** 2).sum()
+
+            if p == 0:
+                single = LinearSVC(featuresCol="v", labelCol="y", regParam=reg, maxIter=40, standardization=False).fit(own)
+                assert loss(model.planes[:, p]) <= loss(np.append(single.coefficients.toArray(), single.intercept)) * 1.001 + 1e-6
+            assert all(loss(model.planes[:, p]) <= loss(model.planes[:, p] + e) + 1e-4 for e in 0.05 * np.vstack([np.eye(7), -np.eye(7)]))
+
+
+def test_hinge_sums_in_two_levels(clusters):
+    rows = learners.kernel_rows(clusters, "linear").data.select(F.lit(0).alias("y"), "v").unionAll(
+        learners.kernel_rows(clusters.limit(50), "linear").data.select(F.lit(1), "v")).repartition(5)
+    w = np.random.default_rng(0).normal(size=(7, 2)) / 9
+    one, two = (learners.hinge_sums(rows, w, np.array([0, 0]), np.array([1, 2]), many) for many in (False, True))
+    assert np.allclose(one, two) and one.shape == (8, 2)
+
+
 def test_forest_and_network(clusters):
     forest = learners.fit_forest(clusters, n_estimators=10)
     assert score(forest, clusters) > 0.9

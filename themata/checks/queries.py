@@ -597,7 +597,7 @@ QUERIES = {
     "grid_centroid": grid_scores,
     "grid_knn": grid_knn,
     "grid_forest": document_grid(lambda: experiments.grids()["RandomForest"]),
-    "grid_svm": document_grid(lambda: [p for p in experiments.grids()["SVM"] if p["kernel"] == "linear"]),
+    "grid_svm": document_grid(lambda: experiments.grids()["SVM"]),
     "grid_gmm": document_grid(lambda: [p for p in experiments.grids()["GMM"] if p["n_components"] <= 6]),
     "sweep_ann": document_grid(swept_networks),
     "kfold_centroid": kfold_centroid,

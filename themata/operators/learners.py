@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import combinations
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark import TaskContext
+from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import materialise
-from themata.functions.blocks import as_array, as_vector, best_class, map_rows, width_of
+from themata.functions.blocks import CHUNK_ROWS, as_array, as_vector, best_class, map_rows, matrix, width_of
 from themata.operators.centroids import features_of
 from themata.operators.labels import fit_labels, label_names
+from themata.operators.network import GROUPS, added
 
 KERNELS = ("linear", "rbf", "poly")
 
+#: Stored files from which the sums of tasks are added up in groups before they reach the driver.
+FEW_FILES = 64
+
 
 @dataclass
 class KernelMap:
@@ -112,30 +116,134 @@ def kernel_rows(
     return KernelRows(data, sizes, mapping, width)
 
 
-def fit_planes(rows: KernelRows, C: float = 1.0, max_iter: int = 100, parallelism: int = 4) -> SVMModel:
+def fit_planes(rows: KernelRows, C: float = 1.0, max_iter: int = 100) -> SVMModel:
     """One linear machine per pair of classes."""
-    data, sizes, labels = rows.data, rows.sizes, sorted(rows.sizes)
-    pairs = list(combinations(range(len(labels)), 2))
+    return fit_all_planes(rows, [C], max_iter)[0]
 
-    def fit_pair(pair):
-        a, b = labels[pair[0]], labels[pair[1]]
-        chosen = data.where(F.col("label").isin(a, b)).select("v", (F.col("label") == b).cast("double").alias("y"))
-        reg = 1.0 / (C * (sizes[a] + sizes[b]))
-        model = LinearSVC(featuresCol="v", labelCol="y", regParam=reg, maxIter=max_iter, standardization=False).fit(chosen)
-        return np.append(model.coefficients.toArray(), model.intercept)
 
-    with ThreadPool(parallelism) as pool:
-        planes = np.array(pool.map(fit_pair, pairs)).T
-    return SVMModel(labels, pairs, planes, rows.mapping, rows.width)
+def fit_all_planes(rows: KernelRows, penalties: list[float], max_iter: int = 100, tol: float = 1e-6) -> list[SVMModel]:
+    """For each penalty one linear machine per pair of classes: mean hinge loss plus |w|^2 / (2 C n).
+
+    All machines improve together: a round is one job, in which tasks add up loss and subgradient of every machine at
+    its own next point, so the number of jobs depends neither on the classes nor on the penalties.
+    """
+    labels = sorted(rows.sizes)
+    pairs = list(combinations(range(len(labels)), 2))
+    wanted = [(C, a, b) for C in penalties for a, b in pairs]
+    counts = np.array([rows.sizes[labels[a]] + rows.sizes[labels[b]] for _, a, b in wanted], float)
+    strength = 1.0 / (np.array([C for C, _, _ in wanted]) * counts)
+    first, second = np.array([a for _, a, _ in wanted]), np.array([b for _, _, b in wanted])
+    code = F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(labels) for x in (name, i)]), F.col("label"))
+    given = rows.data.select(code.cast("int").alias("y"), "v")
+    many = len(given.inputFiles()) > FEW_FILES
+
+    searches = [lbfgs(np.zeros(_length(rows) + 1), max_iter, tol) for _ in wanted]
+    points = {i: next(search) for i, search in enumerate(searches)}
+    planes: list = [None] * len(wanted)
+    while points:
+        active = sorted(points)
+        w = np.stack([points[i] for i in active], axis=1)
+        sums = hinge_sums(given, w, first[active], second[active], many)
+        for k, i in enumerate(active):
+            value = sums[0, k] / counts[i] + strength[i] / 2 * (w[:-1, k] ** 2).sum()
+            gradient = sums[1:, k] / counts[i] + strength[i] * np.append(w[:-1, k], 0.0)
+            try:
+                points[i] = searches[i].send((value, gradient))
+            except StopIteration as done:
+                planes[i] = done.value
+                del points[i]
+    n = len(pairs)
+    return [SVMModel(labels, pairs, np.array(planes[k * n : (k + 1) * n]).T, rows.mapping, rows.width) for k in range(len(penalties))]
+
+
+def _length(rows: KernelRows) -> int:
+    return len(rows.mapping(np.zeros((1, rows.width)))[0])
+
+
+def hinge_sums(rows: DataFrame, planes: np.ndarray, first: np.ndarray, second: np.ndarray, many: bool = False) -> np.ndarray:
+    """Per machine the sum of the hinge losses and of their subgradients over rows ``(y, v)``; a machine, a column of
+    ``planes`` with the offset last, tells class ``second`` from ``first``."""
+
+    def partial(batches):
+        total = np.zeros((len(planes) + 1, planes.shape[1]))
+        seen = False
+        for batch in batches:
+            for begin in range(0, batch.num_rows, CHUNK_ROWS):
+                part = batch.slice(begin, CHUNK_ROWS)
+                y, x = part.column(0).to_numpy(zero_copy_only=False)[:, None], matrix(part.column(1), len(planes) - 1)
+                sign = (y == second).astype(float) - (y == first)
+                loss = np.where(sign != 0, 1.0 - sign * (x @ planes[:-1] + planes[-1]), 0.0)
+                pull = np.where(loss > 0, -sign, 0.0)
+                total[0] += np.maximum(loss, 0.0).sum(0)
+                total[1:-1] += x.T @ pull
+                total[-1] += pull.sum(0)
+                seen = True
+        if seen:
+            group = TaskContext.get().partitionId() % GROUPS
+            yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "sums"])
+
+    parts = rows.mapInArrow(partial, "part int, sums binary")
+    if many:
+        parts = parts.groupBy("part").applyInArrow(added, "part int, sums binary")
+    return sum(np.frombuffer(r["sums"]) for r in parts.collect()).reshape(len(planes) + 1, -1)  # a row a task, or GROUPS of them
+
+
+def lbfgs(start: np.ndarray, max_iter: int = 100, tol: float = 1e-6, memory: int = 10):
+    """Limited-memory quasi-Newton steps as a coroutine: yields a point, is sent value and gradient there, returns the
+    last point. The line search asks for the weak Wolfe conditions, which kinks allow (Lewis & Overton 2013)."""
+    x = start
+    f, g = yield x
+    history: list[tuple[np.ndarray, np.ndarray]] = []
+    still = 0
+    for _ in range(max_iter):
+        d, taken = -g, []
+        for s, y in reversed(history):
+            taken.append((s @ d) / (s @ y))
+            d = d - taken[-1] * y
+        d = d * ((history[-1][0] @ history[-1][1]) / (history[-1][1] @ history[-1][1]) if history else 1.0 / max(np.linalg.norm(g), 1e-12))
+        for (s, y), a in zip(history, reversed(taken)):
+            d = d + s * (a - (y @ d) / (s @ y))
+        slope = g @ d
+        if slope >= 0:
+            if not history:
+                break
+            history = []
+            continue
+        low, high, step = 0.0, np.inf, 1.0
+        for _ in range(30):
+            value, gradient = yield x + step * d
+            if value > f + 1e-4 * step * slope:
+                high = step
+            elif gradient @ d < 0.9 * slope:
+                low = step
+            else:
+                break
+            step = (low + high) / 2 if np.isfinite(high) else 2 * step
+        if value >= f:
+            if not history:
+                break
+            history = []  # start anew from the steepest descent before giving up
+            still += 1
+            if still > 3:
+                break
+            continue
+        s, y = step * d, gradient - g
+        if s @ y > 1e-12 * (s @ s):
+            history = [*history[1 - memory :], (s, y)]
+        still = still + 1 if f - value <= tol * max(abs(f), 1e-12) else 0
+        x, f, g = x + s, value, gradient
+        if still > 3:
+            break
+    return x
 
 
 def fit_svm(
     df: DataFrame, kernel: str = "rbf", C: float = 1.0, gamma="scale", degree: int = 3, random_features: int = 512,
-    max_iter: int = 100, seed: int = 0, parallelism: int = 4, column: str = "features", label: str = "label",
+    max_iter: int = 100, seed: int = 0, column: str = "features", label: str = "label",
 ) -> SVMModel:
     """One linear machine per pair of classes, on kernel features. The kernels are approximate by
     design: an exact solver needs all rows in one place."""
-    return fit_planes(kernel_rows(df, kernel, gamma, degree, random_features, seed, column, label), C, max_iter, parallelism)
+    return fit_planes(kernel_rows(df, kernel, gamma, degree, random_features, seed, column, label), C, max_iter)
 
 
 @dataclass

@@ -190,7 +190,7 @@ def _gradients(shape: Shape, networks: list[np.ndarray]):
     return partial
 
 
-def _added(table: pa.Table) -> pa.Table:
+def added(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(s) for s in table["sums"].to_pylist())
     return pa.table({"part": table["part"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
@@ -199,7 +199,7 @@ def batch_gradients(batch: DataFrame, shape: Shape, networks: list[np.ndarray],
     """Mean loss and mean gradient of every network over the rows ``(y, x)`` of a batch."""
     parts = batch.mapInArrow(_gradients(shape, networks), "part int, sums binary")
     if many:
-        parts = parts.groupBy("part").applyInArrow(_added, "part int, sums binary")
+        parts = parts.groupBy("part").applyInArrow(added, "part int, sums binary")
     total = sum(np.frombuffer(r["sums"]) for r in parts.collect())  # one row a task, or GROUPS of them
     n = len(networks)
     return total[1 : 1 + n] / total[0], list(total[1 + n :].reshape(n, -1) / total[0])
