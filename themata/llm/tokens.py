@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 
 from themata.llm.batches import Generations, Words, gather, ragged
 
-#: Cached entries per generation and worker (about 100 MB each).
-CACHED = 500_000
+#: Cached entries per generation and worker (about 30 MB each).
+CACHED = 150_000
 
 #: Words of letters encoded as one text; each ends with one word-final token, which parts them again.
 JOINED = 256
