@@ -136,6 +136,14 @@ def test_pruning_visits_few_cells(spark):
     assert got == want
 
 
+def test_constant_columns_do_not_count(clusters):
+    wider = clusters.select("id", "label", F.concat("features", F.array(F.lit(3.0))).alias("features"))
+    for method in ({"method": "KNN", "n_neighbors": 3, "metric": "mahalanobis"}, {"method": "MEAN", "metric": "mahalanobis"}):
+        arguments = {k: v for k, v in method.items() if k != "method"}
+        found = [sorted(experiments.train_model(df, method["method"], **arguments).predict(df).select("id", "prediction").collect()) for df in (clusters, wider)]
+        assert found[0] == found[1]
+
+
 def test_custom_metric_and_vote(spark):
     rows = [(1, "b", [0.0, 1.0]), (2, "a", [1.0, 0.0]), (3, "c", [5.0, 5.0]), (4, "c", [6.0, 5.0])]
     train = spark.createDataFrame(rows, "id long, label string, features array<double>")

@@ -37,7 +37,7 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     lengths = pc.list_value_length(values).to_numpy(zero_copy_only=False)
     stored = values.flatten().to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(rows), lengths)
-    place = np.concatenate([np.arange(n) for n in lengths] or [np.zeros(0)]).astype(int)
+    place = np.arange(len(stored)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     place[sparse[owner]] = indices.flatten().to_numpy(zero_copy_only=False)
     out = np.zeros((rows, width))
     out[owner, place] = stored

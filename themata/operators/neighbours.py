@@ -24,8 +24,11 @@ METRICS = ("euclidean", "cosine", "mahalanobis")
 
 
 def whitening(covariance: np.ndarray) -> np.ndarray:
-    """L with V^-1 = L L^T: the Mahalanobis distance is Euclidean after ``x @ L``."""
-    return np.linalg.cholesky(np.linalg.inv(covariance))
+    """L with V^-1 = L L^T: the Mahalanobis distance is Euclidean after ``x @ L``. Directions in which the rows do not
+    vary, such as constant columns, do not count (a pseudo-inverse)."""
+    values, axes = np.linalg.eigh(covariance)
+    used = values > 1e-12 * max(values.max(initial=0.0), 1e-300)
+    return axes * np.where(used, 1.0 / np.sqrt(np.where(used, values, 1.0)), 0.0)
 
 
 def embed(column: Column, width: int, metric: str, covariance: np.ndarray | None = None, side: int = 0) -> Column:
