@@ -205,6 +205,78 @@ def test_toxicity(labelled, nothing):
     assert toxicity.fit(docs, labels.limit(0)).score(docs).where("score < 0.5").count() == 603
 
 
+def _plain_scores(docs, labels):
+    """Log-odds by word, from plain dictionaries of neighbourhoods."""
+    words = {i: [w.lower() for w in re.split("[^A-Za-z0-9]+", t or "") if w] for i, t in docs.items()}
+    tokens = lambda w: list(dict.fromkeys([w + " ", w[:5], w[:4]]))
+    near, corpus = {0: {}, 1: {}}, {}
+    for i, own in words.items():
+        for w in set(own):
+            for t in tokens(w):
+                corpus[t] = corpus.get(t, 0) + 1
+        if i in labels:
+            for before, w, after in zip([None, *own], own, [*own[1:], None]):
+                for t in tokens(w):
+                    near[labels[i]].setdefault(t, set()).add((before, after))
+    n_words = sum(len(set(own)) for own in words.values())
+    total = [sum(map(len, near[k].values())) for k in (0, 1)]
+    weight, odds, clean = toxicity.PRIOR * sum(total), {}, set()
+    for token in near[0].keys() | near[1].keys():
+        c, t = (len(near[k].get(token, ())) for k in (0, 1))
+        prior = weight * corpus[token] / n_words
+        one, other = ((x + prior) / (total[k] + weight - x - prior) for k, x in ((1, t), (0, c)))
+        d, spread = math.log(one) - math.log(other), math.sqrt(1 / (t + prior) + 1 / (c + prior))
+        if t >= toxicity.SUPPORT and d >= toxicity.EFFECT and d >= toxicity.SIGNIFICANT * spread:
+            odds[token] = d
+        raw = math.log((t + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1))
+        if raw + math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)) < toxicity.EFFECT:
+            clean.add(token)
+
+    def score(w):
+        for t in tokens(w):
+            if t in odds:
+                return odds[t]
+            if t in clean:
+                break
+        return toxicity.QUIET
+
+    return odds, {i: [score(w) for w in own] for i, own in words.items()}
+
+
+def test_toxicity_against_plain_sums(spark):
+    """Log-odds, the places and scores of all segments and the evidence; a clean word that begins like a toxic one."""
+    rng = np.random.default_rng(17)
+    words = ["".join(rng.choice(list("bcdfgaeiou"), 6)) for _ in range(120)] + ["vilemoor"]
+    docs, labels = {}, {}
+    for i in range(400):
+        text = list(rng.choice(words, int(rng.integers(3, 40))))
+        labels[i] = int(rng.random() < 0.3)
+        for _ in range(3 * labels[i]):
+            text.insert(int(rng.integers(0, len(text))), str(rng.choice(["vileword", "vilest", "Nasty"])))
+        docs[i] = "  ".join(text) + "."
+    docs |= {500: None, 501: "", 502: "vilemoor vileword vileness nasty", 503: docs[3]}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    model = toxicity.fit(table, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    odds, scores = _plain_scores(docs, labels)
+    got = dict(zip(model.tokens, model.scores))
+    assert {t: s for t, s in got.items() if s != toxicity.QUIET} == pytest.approx(odds)
+    assert got["vilemoor "] == toxicity.QUIET and got["vileword "] > toxicity.EFFECT and got["vile"] > toxicity.EFFECT
+
+    def best(own, low, high):
+        options = [(round(sum(own[a:b]), 9), a - b, -a) for a in range(low, high) for b in range(a + 1, high + 1)]
+        top = max(options, default=(0,))
+        if top[0] <= 0:
+            return []
+        a, b = -top[2], -top[2] - top[1]
+        return best(own, low, a) + [(a, b, pytest.approx(top[0]))] + best(own, b, high)
+
+    for r in model.score(table).where("doc_id < 50 or doc_id >= 500").collect():
+        want = best(scores[r["doc_id"]], 0, len(scores[r["doc_id"]]))
+        assert [(s["start"], s["stop"], s["score"]) for s in r["segments"]] == want
+        top = max((s["score"] for s in r["segments"]), default=None)
+        assert r["evidence"] == pytest.approx(0.0 if top is None else model.decay * top - math.log(toxicity.CHANCE * r["n_words"]))
+
+
 def test_quality(labelled, nothing):
     docs, labels = labelled
     scored = quality.site_quality(docs, labels.where("doc_id % 3 <> 0"), F.col("source"), F.concat_ws("/", "source", "lang"))

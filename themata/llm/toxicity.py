@@ -1,19 +1,19 @@
 """Toxicity of documents by maximum-scoring segments of token log-odds.
 
-Tokens are the first five and the first four characters of words, so that inflected and compound forms share
+Tokens are whole words and their first five and four characters, so that inflected and compound forms share
 evidence. A token's log-odds between toxic and other labelled documents have a Dirichlet prior in proportion to
 its document frequency in the whole corpus (Monroe, Colaresi & Quinn 2008). Counts are of distinct neighbourhoods (word
 before and after), so that copies of a document do not multiply evidence.
 
-A word scores the log-odds of its longest token that is significantly toxic, other words score ``QUIET``. One linear
-scan (Ruzzo & Tompa 1999) finds all maximal-scoring segments of a whole text. A segment of score S in n words
-has expected chance count K n exp(-lambda S), with lambda from the score frequencies of the whole corpus
-(Karlin & Altschul 1990). ``evidence`` is lambda S - ln(K n) of the best segment, the logarithm of how much
-rarer than chance it is. A logistic curve over it, the sum of all segments and the length, fitted on the
-labelled rows, makes a probability.
+A word scores the log-odds of its longest token that is significantly toxic, unless a longer token of it was clean:
+then, and without any such token, it scores ``QUIET``. One linear scan (Ruzzo & Tompa 1999) finds all maximal-scoring
+segments of a whole text. A segment of score S in n words has expected chance count K n exp(-lambda S), with lambda from
+the score frequencies of the whole corpus (Karlin & Altschul 1990). ``evidence`` is lambda S - ln(K n) of the best
+segment, the logarithm of how much rarer than chance it is. A logistic curve over it, the sum of all segments and the
+length, fitted on the labelled rows, makes a probability.
 
-Labelled rows used for fitting are at most ``LABELLED``, chosen by a hash of the id; at most ``TOKENS`` tokens,
-those in most toxic neighbourhoods, can carry weight. Everything else covers all documents.
+Labelled rows used for fitting are at most ``LABELLED``, chosen by a hash of the id. Every token of theirs is tested;
+what the driver and the tasks hold is bounded by the words of these rows. Everything else covers all documents.
 
 Defined cases: null, empty and wordless texts have no segment and get the score of no evidence; documents with
 several labels count as toxic if one says so; without labels of both kinds every score is the share of toxic
@@ -38,9 +38,6 @@ from themata.llm.batches import Words, blocks, record, texts, translation
 #: Labelled rows that the model is fitted on.
 LABELLED = 20_000
 
-#: Tokens that may carry weight.
-TOKENS = 20_000
-
 #: Neighbourhoods in toxic documents that a token needs at least.
 SUPPORT = 3
 
@@ -62,10 +59,16 @@ CHANCE = 0.1
 _APART = translation(lower=True, apart=[c for c in range(128) if not (48 <= c < 58 or 65 <= c < 91 or 97 <= c < 123)])
 
 
-def _tokens(words: Words) -> tuple[pa.Array, pa.Array]:
-    """Long and short token of each word of the vocabulary; a word of up to four characters has one."""
+#: Ends whole words, which differ so from equal beginnings of longer ones.
+_END = " "
+
+
+def _tokens(words: Words) -> list[pa.Array]:
+    """Tokens of each word of the vocabulary, longest first; a beginning equal to a longer one is null."""
     lower = pc.utf8_lower(words.vocabulary)
-    return pc.utf8_slice_codeunits(lower, 0, 5), pc.utf8_slice_codeunits(lower, 0, 4)
+    five, four = pc.utf8_slice_codeunits(lower, 0, 5), pc.utf8_slice_codeunits(lower, 0, 4)
+    whole = pc.binary_join_element_wise(lower, pa.scalar(_END, lower.type), "")
+    return [whole, five, pc.if_else(pc.equal(five, four), pa.scalar(None, four.type), four)]
 
 
 def _neighbourhoods(labelled: DataFrame) -> DataFrame:
@@ -78,12 +81,15 @@ def _neighbourhoods(labelled: DataFrame) -> DataFrame:
             if not len(words.codes):
                 continue
             hashes = pd.util.hash_array(words.vocabulary.to_numpy(zero_copy_only=False)).astype(np.uint64)[words.codes]
-            padded = np.concatenate(([0], hashes, [0])).astype(np.uint64)
-            near = (padded[:-2] * np.uint64(0x9E3779B97F4A7C15) + padded[2:]).astype(np.int64)
+            before, after = np.roll(hashes, 1), np.roll(hashes, -1)
+            filled = words.counts > 0  # no neighbours beyond the ends of a text
+            before[words.bounds[:-1][filled]] = after[words.bounds[1:][filled] - 1] = 0
+            near = (before * np.uint64(0x9E3779B97F4A7C15) + after).astype(np.int64)
             label = np.repeat(block.column(2).to_numpy(), words.counts)
-            for coded in {0: _tokens(words)[0], 1: _tokens(words)[1]}.values():
+            for coded in _tokens(words):
                 tokens = coded.take(pa.array(words.codes))
-                seen = pa.table([tokens, pa.array(near), pa.array(label)], names=schema.names).group_by(schema.names).aggregate([])
+                seen = pa.table([tokens, pa.array(near), pa.array(label)], names=schema.names).filter(pc.is_valid(tokens))
+                seen = seen.group_by(schema.names).aggregate([])
                 yield from seen.select(schema.names).cast(schema).to_batches()
 
     found = labelled.mapInArrow(emit, "token string, near long, toxic int").distinct()
@@ -107,12 +113,9 @@ def _corpus_counts(rows: DataFrame, tokens: list[str]) -> DataFrame:
             once = np.unique(doc * len(words.vocabulary) + words.codes)  # a word counts once per document
             n = np.bincount(once % len(words.vocabulary), minlength=len(words.vocabulary))
             total = np.zeros(len(table) + 1)
-            long, short = _tokens(words)
-            # a word of at most four characters is one token, not two
-            twice = pc.not_equal(long, short).to_numpy(zero_copy_only=False)
-            for tokens_, weight in ((short, n), (long, n * twice)):
-                at = pc.fill_null(pc.index_in(tokens_, table), len(table)).to_numpy()
-                total += np.bincount(at, weight, minlength=len(total))
+            for coded in _tokens(words):
+                at = pc.fill_null(pc.index_in(coded, table, skip_nulls=True), len(table)).to_numpy()
+                total += np.bincount(at, n, minlength=len(total))
             total[-1] = n.sum()
             at = np.flatnonzero(total)
             yield record(schema, pa.array(at, pa.int32(), mask=at == len(table)), total[at].astype(np.int64))
@@ -173,7 +176,7 @@ def _scan(column: pa.Array, tokens: list[str], scores: list[float], decay: float
     """Number of words, evidence, total and segments of each text."""
     table, values = pa.array(tokens, pa.string()), np.array([*scores, QUIET])
     words = Words(column, _APART)
-    at = [pc.index_in(t, table) for t in _tokens(words)]
+    at = [pc.index_in(t, table, skip_nulls=True) for t in _tokens(words)]
     by_word = values[pc.fill_null(pc.coalesce(*at), len(table)).to_numpy()]
     marked = np.flatnonzero((by_word != QUIET)[words.codes])
     score = by_word[words.codes[marked]]
@@ -250,6 +253,36 @@ def _logistic(features: np.ndarray, toxic: np.ndarray) -> list[float]:
     return weights.tolist()
 
 
+def _beginnings(token: str) -> list[str]:
+    """The shorter tokens of the words that have ``token``, longest first."""
+    return [b for b in (token.removesuffix(_END)[:5], token[:4].removesuffix(_END)) if b != token]
+
+
+def _tested(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """Tokens seen in ``SUPPORT`` toxic neighbourhoods, and clean ones that begin with one of them."""
+    t, c = F.col("n_toxic") + 0.5, F.col("n_clean") + 0.5
+    apart = F.log(t / (n_toxic + 1)) - F.log(c / (n_clean + 1))
+    marked = counted.select("*", apart.alias("apart"), (apart + F.sqrt(1 / t + 1 / c) < EFFECT).alias("clean"))
+    likely = marked.where(F.col("n_toxic") >= SUPPORT)
+    body = F.rtrim("token")
+    shorter = marked.where((F.col("n_toxic") < SUPPORT) & F.col("clean")).select(
+        "token", "n_toxic", "n_clean", "clean", F.explode(F.array(F.left(body, F.lit(5)), F.left(body, F.lit(4)))).alias("beginning")
+    )
+    starts = likely.where("apart > 0").select(F.col("token").alias("beginning"))
+    clean = shorter.join(starts, "beginning", "left_semi").drop("beginning").distinct()
+    return likely.select(clean.columns).unionAll(clean)
+
+
+def _own_shares(scores: dict[str, float], shares: dict[str, float]) -> list[float]:
+    """Share of the words whose longest token in ``scores`` is the token itself."""
+    own = {token: shares[token] for token in scores}
+    for token in scores:
+        nearest = next((b for b in _beginnings(token) if b in scores), None)
+        if nearest is not None:
+            own[nearest] -= shares[token]
+    return [max(0.0, x) for x in own.values()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> ToxicityModel:
     """Model from ``labels`` (id, 0/1), with frequencies over all ``docs``."""
     rows = texts(docs, id_col, text_col)
@@ -262,8 +295,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         return ToxicityModel([], [], 1.0, [40.0 if 1 in sizes else -40.0, 0.0, 0.0, 0.0, 0.0])
     counted = materialise(_neighbourhoods(sample))
     total = counted.agg(F.sum("n_toxic").alias("t"), F.sum("n_clean").alias("c")).first()
-    frequent = counted.where(F.col("n_toxic") >= SUPPORT).orderBy(F.desc("n_toxic"), "token").limit(TOKENS)
-    found = frequent.toPandas()
+    found = _tested(counted, total["t"], total["c"]).toPandas()  # bounded by the words of the sample
     corpus = {r["token"]: r["n"] for r in _corpus_counts(rows, found["token"].tolist()).collect()}
     words = max(1, corpus.pop(None, 1))
     shares = np.array([max(corpus.get(i, 0), 1) / words for i in range(len(found))])
@@ -272,10 +304,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     odds = lambda n, of: np.log((n + prior) / (of + weight - n - prior))
     difference = odds(t, float(total["t"])) - odds(c, float(total["c"]))
     deviation = np.sqrt(1 / (t + prior) + 1 / (c + prior))
-    significant = (difference >= EFFECT) & (difference >= SIGNIFICANT * deviation)
-    tokens, scores = found["token"][significant].tolist(), difference[significant]
-    shares = shares[significant]
-    decay = _decay(np.append(scores, QUIET), np.append(shares, max(0.0, 1 - shares.sum())))
+    toxic = (t >= SUPPORT) & (difference >= EFFECT) & (difference >= SIGNIFICANT * deviation)
+    scores = dict(zip(found["token"][toxic], difference[toxic].tolist()))
+    longer = found["token"][found["clean"].to_numpy(bool) & ~toxic]
+    scores |= {token: QUIET for token in longer if any(b in scores for b in _beginnings(token))}
+    alone = _own_shares(scores, dict(zip(found["token"], shares.tolist())))
+    values, alone = np.array([*scores.values(), QUIET]), np.array([*alone, max(0.0, 1 - sum(alone))])
+    tokens, scores, decay = list(scores), np.array([*scores.values()]), _decay(values, alone / alone.sum())
     model = ToxicityModel(tokens, scores.tolist(), decay, [])
     seen = model.evidence(sample, ["toxic"]).select(*[x.alias(f"x{i}") for i, x in enumerate(_features())], "toxic").toPandas()
     model.weights = _logistic(seen.drop(columns="toxic").to_numpy(float), seen["toxic"].to_numpy(float))
