@@ -29,6 +29,10 @@ from themata.cluster import let
 
 _NO_SPANS = "cast(array() as array<struct<start: int, stop: int, value: string>>)"
 
+#: Elements that a running result is built for at once, and characters in a piece of a text.
+_BLOCK = 256
+_PIECE = 512
+
 #: Stands for a single separator between digits, so that a run of both is one character class.
 _JOINT = "\ue000"
 
@@ -69,6 +73,35 @@ CUES = r"(?i)\b(?:e-?mail|mail|contact|write|tel|phone|call|fax|mobile|ip|host|s
 AGAINST = r"(?i)\b(?:version|release|isbn|issn|doi|order|invoice|page|sha1|sha256|commit|build|section|figure|no)\b\W*$"
 
 
+def running(array: Column, begin: Column, step: Callable, emit: Callable, empty: str) -> Column:
+    """``emit(state, x)`` for each element of a non-empty array, the state going from ``begin`` on by ``step(state, x)``.
+
+    Appending copies an array, so results are built in blocks and joined at the end; ``empty`` is SQL for none of them.
+    """
+    none, no_blocks = F.expr(empty), F.array(F.expr(empty))
+    numbers = lambda a: F.sequence(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK).cast("int"))
+    blocks = let(array, lambda a: F.transform(numbers(a), lambda i: F.slice(a, i * _BLOCK + 1, F.lit(_BLOCK))))
+
+    def within(state: Column, block: Column) -> Column:
+        add = lambda a, x: F.struct(step(a.state, x).alias("state"), F.array_append(a.out, emit(a.state, x)).alias("out"))
+        return F.aggregate(block, F.struct(state.alias("state"), none.alias("out")), add)
+
+    join = lambda a, block: let(within(a.state, block), lambda r: F.struct(r.state.alias("state"), F.array_append(a.out, r.out).alias("out")))
+    return F.aggregate(blocks, F.struct(begin.alias("state"), no_blocks.alias("out")), join, lambda a: F.flatten(a.out))
+
+
+def pieces(text: Column) -> Column:
+    """``text`` in pieces of ``_PIECE`` characters: a place far on is found without walking the text up to it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+
+
+def cut(parts: Column, start: Column, stop: Column) -> Column:
+    """Characters ``start`` to ``stop`` of the text that ``pieces`` cut; none before it or beyond its end."""
+    first = F.floor(start / _PIECE).cast("int")
+    some = F.slice(parts, first + 1, F.floor(stop / _PIECE).cast("int") - first + 1)
+    return F.substring(F.array_join(some, ""), start - first * _PIECE + 1, stop - start)
+
+
 def found(text: Column, pattern: str, worth: Column) -> Column:
     """Leftmost non-overlapping matches as (start, stop, value), where ``worth`` says the text may have any.
 
@@ -79,15 +112,9 @@ def found(text: Column, pattern: str, worth: Column) -> Column:
 
     def places(h: Column) -> Column:
         with_gap = F.zip_with(h, F.slice(gaps, F.lit(1), F.size(h)), lambda value, gap: F.struct(F.length(gap).alias("gap"), value.alias("value")))
-        begin = F.struct(F.lit(0).alias("at"), F.expr(_NO_SPANS).alias("spans"))
-
-        def add(acc: Column, x: Column) -> Column:
-            start = acc.at + x.gap
-            stop = start + F.length(x.value)
-            span = F.struct(start.alias("start"), stop.alias("stop"), x.value.alias("value"))
-            return F.struct(stop.alias("at"), F.array_append(acc.spans, span).alias("spans"))
-
-        return F.aggregate(with_gap, begin, add, lambda acc: acc.spans)
+        end = lambda at, x: at + x.gap + F.length(x.value)
+        span = lambda at, x: F.struct((at + x.gap).alias("start"), end(at, x).alias("stop"), x.value.alias("value"))
+        return running(with_gap, F.lit(0), end, span, _NO_SPANS)
 
     any_hits = let(hits, lambda h: F.when(F.size(h) > 0, places(h)).otherwise(F.expr(_NO_SPANS)))
     return F.when(worth, any_hits).otherwise(F.expr(_NO_SPANS))
@@ -158,15 +185,21 @@ def _matches(text: Column) -> dict[str, Column]:
     }
 
 
+_NO_VOTES = f"cast(array() as array<struct<kind: int, start: int, stop: int, {', '.join(f'{name}: int' for name in LABELERS)}>>)"
+
+
 def candidates(text: Column) -> Column:
     """All candidates as (kind, start, stop, form, gazetteer, cue, against, touching); ``kind`` is its place in KINDS."""
     checks, lists = _checks(), _gazetteers()
 
     def voted(kind: str, spans: Column) -> Column:
-        def vote(s: Column) -> Column:
+        def vote(s: Column, parts: Column) -> Column:
+            before = cut(parts, F.greatest(s.start - 24, F.lit(0)), s.start)
+            after = cut(parts, s.stop, s.stop + 1)
+            return let(F.struct(before.alias("before"), after.alias("after")), lambda near: votes(s, near.before, near.after))
+
+        def votes(s: Column, before: Column, after: Column) -> Column:
             value = F.regexp_replace(s.value, _JOINT, "")
-            before = F.substring(text, F.greatest(s.start - 23, F.lit(1)), F.least(s.start, F.lit(24)))
-            after = F.substring(text, s.stop + 1, F.lit(1))
             return F.struct(
                 F.lit(KINDS.index(kind)).alias("kind"), s.start.alias("start"), s.stop.alias("stop"),
                 F.when(checks[kind](value), 1).otherwise(-1).alias("form"), lists[kind](value).cast("int").alias("gazetteer"),
@@ -174,7 +207,8 @@ def candidates(text: Column) -> Column:
                 F.when(before.rlike("[A-Za-z0-9]$") | after.rlike("^[A-Za-z0-9]"), -1).otherwise(0).alias("touching"),
             )
 
-        return F.transform(spans, vote)
+        # texts without such spans are not cut
+        return let(spans, lambda m: F.when(F.size(m) > 0, let(pieces(text), lambda parts: F.transform(m, lambda s: vote(s, parts)))).otherwise(F.expr(_NO_VOTES)))
 
     return F.concat(*[voted(kind, spans) for kind, spans in _matches(text).items()])
 
@@ -242,17 +276,34 @@ def fit(docs: DataFrame, text_col: str = "text") -> SpanModel:
     return SpanModel(right, float(model.intercept), [float(w) for w in model.coefficients])
 
 
+_NO_PLAIN = "cast(array() as array<struct<kind: int, start: int, stop: int>>)"
+_NO_MARKED = "cast(array() as array<struct<start: int, further: int, stop: int, kind: int, clear: boolean>>)"
+
+
+def _apart(base: Column, further: Column) -> Column:
+    """The spans of ``further`` that overlap none of ``base``, by one pass forward and one back over both in order."""
+    row = lambda s, is_further: F.struct(s.start.alias("start"), F.lit(is_further).alias("further"), s.stop.alias("stop"), s.kind.alias("kind"))
+    order = F.array_sort(F.concat(F.transform(base, lambda s: row(s, 0)), F.transform(further, lambda s: row(s, 1))))
+    marked = lambda s, clear: F.struct(s.start.alias("start"), s.further.alias("further"), s.stop.alias("stop"), s.kind.alias("kind"), clear.alias("clear"))
+    # the last end of base spans so far, then the nearest start of those to come
+    forward = running(order, F.lit(0), lambda end, s: F.greatest(end, F.when(s.further == 0, s.stop).otherwise(0)), lambda end, s: marked(s, end <= s.start), _NO_MARKED)
+    back = lambda rows: running(
+        F.reverse(rows), F.lit((1 << 31) - 1), lambda at, s: F.when(s.further == 0, s.start).otherwise(at),
+        lambda at, s: marked(s, s.clear & (at >= s.stop)), _NO_MARKED,
+    )
+    kept = F.filter(let(forward, back), lambda s: (s.further == 1) & s.clear)
+    spans = F.transform(kept, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.stop.alias("stop")))
+    return F.when(F.size(further) > 0, spans).otherwise(F.expr(_NO_PLAIN))
+
+
 def annotate(docs: DataFrame, model: SpanModel, text_col: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:
     """``docs`` with the base spans and all spans, as arrays of (kind, start, stop) by kind and start."""
     plain = lambda array: F.array_sort(F.transform(array, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.stop.alias("stop"))))
     every = candidates(_text(text_col))
-    apart = lambda s, b: ~F.exists(b, lambda o: (o.start < s.stop) & (s.start < o.stop))
-    further = lambda e, b: F.filter(
-        e, lambda s: (s.kind >= len(BASE)) & (s.form == 1) & model.accepts(s) & apart(s, b)
-    )
+    further = lambda e: F.filter(e, lambda s: (s.kind >= len(BASE)) & (s.form == 1) & model.accepts(s))
     both = let(every, lambda e: let(
-        F.filter(e, lambda s: (s.kind < len(BASE)) & (s.form == 1)),
-        lambda b: F.struct(plain(b).alias("b"), plain(F.concat(b, further(e, b))).alias("s")),
+        F.struct(F.filter(e, lambda s: (s.kind < len(BASE)) & (s.form == 1)).alias("b"), further(e).alias("f")),
+        lambda x: F.struct(plain(x.b).alias("b"), plain(F.concat(plain(x.b), _apart(x.b, x.f))).alias("s")),
     ))
     taken = "__found"
     while taken in docs.columns:
@@ -272,11 +323,12 @@ def redact(text: Column, spans: Column) -> Column:
     """``text`` with each span replaced by its kind in brackets; spans inside earlier ones are covered by those."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s.start.alias("start"), (-s.stop).alias("less"), s.kind.alias("kind"))))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
-    def add(acc: Column, s: Column) -> Column:
-        fresh = s.start >= acc.at
-        mark = F.when(fresh, F.concat(F.substring(text, acc.at + 1, s.start - acc.at), F.element_at(names, s.kind + 1))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc.at, -s.less).alias("at"), F.concat(acc.done, mark).alias("done"))
+    def mark(parts: Column, at: Column, s: Column) -> Column:
+        return F.when(s.start >= at, F.concat(cut(parts, at, s.start), F.element_at(names, s.kind + 1))).otherwise(F.lit(""))
 
-    return F.aggregate(by_place, begin, add, lambda acc: F.concat(acc.done, F.substring(text, acc.at + 1, F.length(text))))
+    done = lambda parts, spans: F.concat(
+        F.array_join(running(spans, F.lit(0), lambda at, s: F.greatest(at, -s.less), lambda at, s: mark(parts, at, s), "cast(array() as array<string>)"), ""),
+        let(F.array_max(F.transform(spans, lambda s: -s.less)), lambda end: F.substring(text, end + 1, F.length(text))),
+    )
+    return let(by_place, lambda spans: F.when(F.size(spans) > 0, let(pieces(text), lambda parts: done(parts, spans))).otherwise(text))
