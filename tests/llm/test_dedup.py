@@ -119,6 +119,24 @@ def test_run_index_intervals():
     assert all(len(v) == 1 for v in names.values()) and len(set().union(*names.values())) == len(names)
 
 
+def test_parts_that_may_repeat():
+    rng = np.random.default_rng(2)
+    text = rng.integers(97, 123, 6000).astype(np.uint8)
+    text[3000:3300] = text[500:800]
+    text[5000:5120] = text[700:820]
+    starts, lengths = np.array([0, 600, 650, 3100, 5500]), np.array([600, 50, 2450, 2400, 500])
+    text = np.concatenate([text[a : a + n] for a, n in zip(starts, lengths)])
+    starts = np.cumsum(lengths) - lengths
+    windows = {}
+    for which, (start, length) in enumerate(zip(starts.tolist(), lengths.tolist())):
+        for k in range(length - 39):
+            windows.setdefault(text[start + k : start + k + 40].tobytes(), []).append((which, k))
+    repeated = {place for places in windows.values() if len(places) > 1 for place in places}
+    left = [(w, a + k) for w, a, n in zip(*run_index._repetitive(text, starts, lengths, 40)) for k in range(n - 39)]
+    assert len(set(left)) == len(left) and repeated <= set(left)
+    assert len(left) < 2 * len(repeated)
+
+
 @pytest.mark.parametrize("operator", [superkmer.remove_repeats, run_index.remove_repeats, jaccard_join.near_duplicates])
 def test_empty_table(operator, nothing):
     assert operator(nothing).count() == 0

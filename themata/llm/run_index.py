@@ -9,12 +9,16 @@ A gram so frequent that its windows could fill a bucket is nobody's minimiser bu
 such windows go by the smallest hash of half a window, see ``superkmer``.
 
 Segments that hold their minimiser once and share it with no other segment have no window of another one, nor one
-twice. Over the rest, which is the repetitive part of the corpus, a bucket builds a run-length Burrows-Wheeler transform: rotations are sorted to
-the window's depth, equal symbols in a row are one run, counts are kept per run, the text position at each run's
-end is sampled, and so is every place where neighbours part within one symbol less than a window. Then all
-segments are streamed backwards through the index: an interval is extended by the next symbol and shrunk to one
-symbol less, which is the matching statistic cut at the window's length. Windows of one content end in one
-interval; all but the earliest occurrence of its windows are marked.
+twice. Nor does a window that holds half a window which stands once in the bucket; segments are cut there. Over the
+rest, which is the repetitive part of the corpus, a bucket builds a run-length Burrows-Wheeler transform: rotations
+are sorted to the window's depth, equal symbols in a row are one run, counts are kept per run, and every place
+where neighbours part within one symbol less than a window is sampled. Then all strings are streamed backwards
+through the index: an interval is extended by the next symbol and shrunk to one symbol less, which is the matching
+statistic cut at the window's length. Windows of one content end in one interval; all but the earliest occurrence
+of its windows are marked.
+
+Only documents with spans meet them by a shuffle. A filter of their ids, of bounded size, tells the others, which
+pass straight through.
 
 Defined cases: null, empty and short texts keep all their bytes; documents are told apart by id and, where ids
 repeat, by text, then ordered by a hash of it; rows that repeat id and text are one document and get its result;
@@ -47,6 +51,10 @@ _PLACE = np.uint64((1 << 24) - 1)
 #: Bytes of input text per bucket.
 BUCKET_BYTES = 4 << 20
 
+#: Bits of a bitmap, and bitmaps (of 4 KB) at most, in the filter of documents with spans.
+PAGE_BITS = 1 << 15
+MAX_PAGES = 1 << 13
+
 _PACKED = pa.schema([
     ("bucket", pa.int64()), ("text", pa.binary()), ("lengths", pa.binary()), ("marks", pa.binary()), ("docs", pa.binary()),
     ("digests", pa.binary()), ("starts", pa.binary()),
@@ -181,7 +189,6 @@ class RunIndex:
         symbols = text[order - 1].astype(np.int64)
         heads = np.flatnonzero(np.diff(symbols, prepend=-1))
         lengths = np.diff(np.append(heads, n))
-        self.samples = order[heads + lengths - 1]  # text position at each run's end
         by_symbol = np.lexsort((heads, symbols[heads]))
         self.keys = symbols[heads][by_symbol] * (n + 1) + heads[by_symbol]
         self.lengths = lengths[by_symbol]
@@ -245,6 +252,24 @@ class RunIndex:
         return found
 
 
+def _repetitive(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """String, first byte in it and length of each part of the given strings (one after the other in ``text``) that
+    is left when windows are taken out which hold half a window that stands once in ``text``."""
+    ends = starts + lengths
+    edge = np.zeros(len(text) + 1, np.int8)  # windows that reach into the next string
+    np.add.at(edge, ends - window + 1, 1)
+    np.add.at(edge, ends, -1)
+    inside = np.cumsum(edge[: len(text) - window + 1], dtype=np.int8) == 0
+    half = max(GRAM, window // 2)
+    slots = (_far(_grams(text), half) >> np.uint64(64 - max(16, (2 * len(text)).bit_length()))).astype(np.int64)
+    once = np.concatenate(([0], np.cumsum(np.bincount(slots)[slots] == 1)))
+    keep = inside & (once[window - half + 1 :] == once[: len(once) - window + half - 1])
+    change = np.diff(keep.view(np.int8), prepend=0, append=0)
+    first, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    which = np.searchsorted(ends, first, side="right")
+    return which, first - starts[which], stop - first + window - 1
+
+
 def _finder(window: int, buckets: int):
     def find(table: pa.Table) -> pa.Table:
         expand = zstandard.ZstdDecompressor().decompress
@@ -271,17 +296,22 @@ def _finder(window: int, buckets: int):
         marks = column("marks", "<u4", False)[first]
         _, by_mark, sizes = np.unique(marks & 0x7FFFFFFF, return_inverse=True, return_counts=True)
         shared = np.flatnonzero((sizes[by_mark] > 1) | (marks >> 31 > 0))
-        # windows of strings that share their minimiser, or hold it twice, by the interval of their content
-        text, ends = gather(np.frombuffer(data, np.uint8), offsets[first], lengths[first], shared)
-        own = lengths[first[shared]]
-        group = np.full(len(text), -1, np.int64)
+        # what may repeat of strings that share their minimiser, or hold it twice: document's first byte and length
+        flat, part, ahead, own = np.frombuffer(data, np.uint8), shared, np.empty(0, np.int64), np.empty(0, np.int64)
         if len(shared):
+            text, ends = gather(flat, offsets[first], lengths[first], shared)
+            which, ahead, own = _repetitive(text, ends - lengths[first[shared]], lengths[first[shared]], window)
+            part = shared[which]
+        # windows by the interval of their content
+        text, ends = gather(flat, offsets[first[part]] + ahead, own, np.arange(len(part)))
+        group = np.full(len(text), -1, np.int64)
+        if len(part):
             group = RunIndex(text, window).intervals(text, ends - own, own, window)
         # the earliest occurrence of every interval, over the first occurrences of its strings
         place = np.flatnonzero(group >= 0)
-        which = np.repeat(np.arange(len(shared)), own)[place]
-        base = first[shared[which]]
-        offset = place - (ends - own)[which]
+        which = np.repeat(np.arange(len(part)), own)[place]
+        base = first[part[which]]
+        offset = place - (ends - own - ahead)[which]
         at = np.lexsort((starts[base] + offset, digests[base], ids[base], group[place]))
         head = np.maximum.accumulate(np.where(np.diff(group[place][at], prepend=-1) != 0, np.arange(len(at)), 0))
         earliest = at[head]  # per sorted window, the window that comes first
@@ -296,11 +326,11 @@ def _finder(window: int, buckets: int):
         i = i[differ]
         runs = lengths[i] - window + 1
         hit = np.flatnonzero(later)
-        which = np.repeat(np.arange(len(shared)), own)[hit]
-        base = first[shared[which]]
+        which = np.repeat(np.arange(len(part)), own)[hit]
+        base = first[part[which]]
         return _repeats(
             np.concatenate((np.repeat(ids[i], runs), ids[base])), np.concatenate((np.repeat(digests[i], runs), digests[base])),
-            np.concatenate((np.repeat(starts[i], runs) + steps(runs), starts[base] + hit - (ends - own)[which])),
+            np.concatenate((np.repeat(starts[i], runs) + steps(runs), starts[base] + hit - (ends - own - ahead)[which])),
         )
 
     return find
@@ -315,6 +345,20 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(_finder(window, buckets), _SPANS_DDL)
 
 
+def _with_flag(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with ``listed``, false where a row surely has no span. No shuffle: the bits of documents with spans
+    are broadcast, at most ``MAX_PAGES`` bitmaps; beyond ``MAX_PAGES`` * 2048 of them, more rows are listed in vain."""
+    listed = found.select("id", "digest").distinct()
+    pages = min(MAX_PAGES, 1 << (listed.count() >> 11).bit_length())
+    slot = F.pmod(F.xxhash64("id", "digest"), F.lit(pages * PAGE_BITS)) + 1
+    page, position = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    bits = listed.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(position).alias("bits"))
+    rows = rows.join(F.broadcast(bits), page == F.col("page"), "left")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    flag = F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))
+    return rows.withColumn("listed", flag).drop("page", "bits")
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, spans, kept)``: maximal removed byte spans (start, stop) and the other bytes."""
     rows = keyed(docs, id_col, text_col)
@@ -346,5 +390,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                     out.append((None if i == -(2**63) else i, len(data), len(data) - len(kept), named, kept))
                 yield record(schema, *zip(*out))
 
-    joined = rows.join(listed, ["id", "digest"], "left").select("id", "text", "starts", "ns")
+    marked = _with_flag(rows, found)
+    joined = marked.where("listed").join(listed, ["id", "digest"], "left").select("id", "text", "starts", "ns")
+    no = F.lit(None).cast("array<int>")
+    joined = joined.unionAll(marked.where("not listed").select("id", "text", no.alias("starts"), no.alias("ns")))
     return joined.mapInArrow(keep, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept binary")
