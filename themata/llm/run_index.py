@@ -51,6 +51,9 @@ _PLACE = np.uint64((1 << 24) - 1)
 #: Bytes of input text per bucket.
 BUCKET_BYTES = 4 << 20
 
+#: Bytes of text hashed at once.
+PART_BYTES = 1 << 19
+
 #: Bits of a bitmap, and bitmaps (of 4 KB) at most, in the filter of documents with spans.
 PAGE_BITS = 1 << 15
 MAX_PAGES = 1 << 13
@@ -92,7 +95,10 @@ def _byte_grams(window: int):
 
     def grams(block: pa.RecordBatch) -> tuple[np.ndarray, int]:
         data, _ = _data(block)
-        return (_grams(data) >> np.uint64(24) if len(data) >= window else np.empty(0, np.uint64)), 2 * window - GRAM
+        hashes = np.empty(len(data) - GRAM + 1 if len(data) >= window else 0, np.uint64)
+        for at in range(0, len(hashes), PART_BYTES):
+            hashes[at : at + PART_BYTES] = _grams(data[at : at + PART_BYTES + GRAM - 1]) >> np.uint64(24)
+        return hashes, 2 * window - GRAM
 
     return grams
 
@@ -136,13 +142,24 @@ def _segments(data: np.ndarray, bounds: np.ndarray, window: int, hot: np.ndarray
     return doc, starts, stops + window - 1, least[starts].astype(np.int64), twice
 
 
+def _all_segments(data: np.ndarray, bounds: np.ndarray, window: int, hot: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """``_segments``, some documents of about ``PART_BYTES`` at a time, so that its arrays stay small."""
+    found, low = [], 0
+    while low < len(bounds) - 1:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + PART_BYTES, side="right")) - 1)
+        doc, first, last, least, twice = _segments(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], window, hot)
+        found.append((doc + low, first + bounds[low], last + bounds[low], least, twice))
+        low = high
+    return tuple(map(np.concatenate, zip(*found)))
+
+
 def _packer(window: int, buckets: int, frequent_):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         task = TaskContext.get().partitionId()
         for number, block in enumerate(blocks(batches)):
             data, bounds = _data(block)
-            doc, first, last, least, twice = _segments(data, bounds, window, None if frequent_ is None else frequent_.value)
+            doc, first, last, least, twice = _all_segments(data, bounds, window, None if frequent_ is None else frequent_.value)
             if not len(doc):
                 continue
             raw = data.tobytes()
@@ -261,8 +278,15 @@ def _repetitive(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, windo
     np.add.at(edge, ends, -1)
     inside = np.cumsum(edge[: len(text) - window + 1], dtype=np.int8) == 0
     half = max(GRAM, window // 2)
-    slots = (_far(_grams(text), half) >> np.uint64(64 - max(16, (2 * len(text)).bit_length()))).astype(np.int64)
-    once = np.concatenate(([0], np.cumsum(np.bincount(slots)[slots] == 1)))
+    bits = max(16, (len(text) // 2).bit_length())
+    slots = np.empty(len(text) - half + 1, np.int32)
+    counts = np.zeros(1 << bits, np.int32)
+    for at in range(0, len(slots), PART_BYTES):
+        part = _far(_grams(text[at : at + PART_BYTES + half - 1]), half) >> np.uint64(64 - bits)
+        slots[at : at + PART_BYTES] = part
+        np.add.at(counts, part.astype(np.int64), 1)
+    once = np.zeros(len(slots) + 1, np.int32)
+    np.cumsum(counts[slots] == 1, out=once[1:])
     keep = inside & (once[window - half + 1 :] == once[: len(once) - window + half - 1])
     change = np.diff(keep.view(np.int8), prepend=0, append=0)
     first, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
