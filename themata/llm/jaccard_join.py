@@ -44,6 +44,9 @@ COUNTERS = 1 << 20
 #: Members of a list compared by one task at once.
 LIST_BLOCK = 2000
 
+#: Members of short lists that go into one group, about.
+BUNDLE_MEMBERS = 10_000
+
 _SLICE = 1 << 12
 _SIGNATURE = pa.schema([
     ("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()),
@@ -227,19 +230,20 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.mapInArrow(verify, "a long, b long").distinct()
 
 
-def _open_lists(lists: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``(key, id, component, n_list)`` of the classes in lists that still span several components."""
+def _open_lists(lists: DataFrame, classes: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+    """``(key, id, component, n_list)`` of the classes in lists that still span several components, and their number."""
     named = classes.select("id", "member").join(found.select(F.col("node").alias("id"), "component"), "id", "left")
     named = named.select("id", "member", F.coalesce("component", "id").alias("component"))
     spread = lists.select("key", "member").join(named, "member").select("key", "id", "component")
     spread = materialise(spread)
     spans = spread.groupBy("key").agg(F.count("*").alias("n_list"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return spread.join(spans.where("low <> high and n_list > 2").select("key", "n_list"), "key")
+    spans = materialise(spans.where("low <> high and n_list > 2").select("key", "n_list"))
+    return spread.join(spans, "key"), spans.agg(F.sum("n_list")).first()[0] or 0
 
 
-def _block_pairs(members: DataFrame, spanning: bool) -> DataFrame:
-    """``(key, a, b)``: pairs of different components within each list, by size and bitmap; blocks of a list meet
-    pairwise.
+def _block_pairs(members: DataFrame, bundles: int, spanning: bool) -> DataFrame:
+    """``(key, a, b)``: pairs of different components within each list, by size and bitmap; blocks of a long list meet
+    pairwise, other lists are compared whole, many in one of ``bundles`` groups.
 
     With ``spanning``, pairs that would only join what other pairs of the block already join are left out.
     """
@@ -275,10 +279,80 @@ def _block_pairs(members: DataFrame, spanning: bool) -> DataFrame:
         key = np.full(len(pairs), table["key"][0].as_py())
         return pa.Table.from_batches([record(schema, key, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))])
 
+    long = members.where(F.col("n_list") > LIST_BLOCK)
     parts = F.ceil(F.col("n_list") / LIST_BLOCK)
-    dealt = members.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    dealt = long.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     dealt = dealt.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    return dealt.groupBy("key", "low", "high").applyInArrow(compare, "key long, a long, b long")
+    of_long = dealt.groupBy("key", "low", "high").applyInArrow(compare, "key long, a long, b long")
+    bundled = members.where(F.col("n_list") <= LIST_BLOCK).withColumn("bundle", F.pmod(F.xxhash64("key"), F.lit(bundles)))
+    bundled = bundled.select("bundle", "key", "id", "component", "n", "bits")
+    return of_long.unionAll(bundled.groupBy("bundle").applyInArrow(_bundle_pairs(spanning), "key long, a long, b long"))
+
+
+def _bundle_pairs(spanning: bool):
+    """Function from whole lists to their pairs ``(key, a, b)`` as in ``_block_pairs``. Members are sorted by list and
+    size, and each is compared with the next one, the one after that and so on, for all lists at once."""
+    schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(table: pa.Table) -> pa.Table:
+        key, ids, component, sizes = (table[c].to_numpy() for c in ("key", "id", "component", "n"))
+        order = np.lexsort((ids, sizes, key))
+        key, ids, component, sizes = key[order], ids[order], component[order], sizes[order]
+        bits = table["bits"].combine_chunks().take(pa.array(order)).to_pylist()
+        widths = np.fromiter(map(len, bits), np.int64, len(bits))
+        # bitmaps of one width as rows of a table, and folded to half the width
+        slot, whole, half = np.empty(len(bits), np.int64), {}, {}
+        for width in np.unique(widths).tolist():
+            own = np.flatnonzero(widths == width)
+            slot[own] = np.arange(len(own))
+            whole[width] = np.frombuffer(b"".join([bits[i] for i in own.tolist()]), "<u8").reshape(len(own), -1)
+            if width > 8:
+                half[width] = np.bitwise_xor.reduce(whole[width].reshape(len(own), 2, -1), axis=1)
+        # components of each list, and which of them are one from now on
+        by = np.lexsort((component, key))
+        new = (np.diff(key[by], prepend=0) != 0) | (np.diff(component[by], prepend=0) != 0)
+        label = np.empty(len(key), np.int64)
+        label[by] = np.cumsum(new)
+        root = np.arange(len(key) + 1)
+        lists, firsts, seconds = [], [], []
+        left, step = np.arange(len(key)), 0
+        while True:
+            step += 1
+            left = left[: np.searchsorted(left, len(key) - step)]
+            left = left[(key[left] == key[left + step]) & (5 * sizes[left] >= 4 * sizes[left + step])]
+            if not len(left):
+                break
+            i = left[root[label[left]] != root[label[left + step]]]
+            j, ok = i + step, np.zeros(len(i), bool)
+            for width, rows in whole.items():
+                for other, near in ((width, whole), (2 * width, half)):
+                    if other in near:
+                        at = np.flatnonzero((widths[i] == width) & (widths[j] == other))
+                        for low in range(0, len(at), 4096):
+                            some = at[low : low + 4096]
+                            differ = np.bitwise_count(rows[slot[i[some]]] ^ near[other][slot[j[some]]]).sum(axis=1, dtype=np.int64)
+                            ok[some] = 9 * differ <= sizes[i[some]] + sizes[j[some]]
+            i, j = i[ok], j[ok]
+            if spanning and len(i):
+                joins = np.zeros(len(i), bool)
+                for k, (x, y) in enumerate(zip(label[i].tolist(), label[j].tolist())):
+                    while root[x] != x:
+                        x = root[x]
+                    while root[y] != y:
+                        y = root[y]
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        joins[k] = True
+                i, j = i[joins], j[joins]
+                while (root[root] != root).any():
+                    root = root[root]
+            lists.append(key[i])
+            firsts.append(np.minimum(ids[i], ids[j]))
+            seconds.append(np.maximum(ids[i], ids[j]))
+        none = [np.empty(0, np.int64)]
+        return pa.Table.from_batches([record(schema, *(np.concatenate(none + x) for x in (lists, firsts, seconds)))])
+
+    return compare
 
 
 def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -307,8 +381,8 @@ def link_components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     of_groups = classes.where("size > 1").groupBy(F.col("p1").alias("key"), "member").agg(F.count("*").alias("c")).select("key", "member")
     lists = lists.select("key", "member").unionAll(of_groups)
     for spanning in (True, False):  # after the first round nearly all that links hangs together
-        members = _open_lists(lists, classes, found).join(bitmaps, "id")
-        pairs = materialise(_block_pairs(members, spanning))
+        members, n_members = _open_lists(lists, classes, found)
+        pairs = materialise(_block_pairs(members.join(bitmaps, "id"), n_members // BUNDLE_MEMBERS + 1, spanning))
         first = materialise(first.unionAll(verified(pairs.select("a", "b").distinct(), rows)))
         found = components(first)
         # a list without any pair has none between what its components become either
