@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import broadcast_if_small, materialise
@@ -38,8 +39,10 @@ from themata.llm.superkmer import mix, rolling_hash
 
 SHINGLE = 5
 
-#: Counters of the frequency table (of 4 bytes); more of them tell rarer shingles apart.
-COUNTERS = 1 << 20
+#: Counters of the frequency table (of 4 bytes): one for so many bytes of text, within these bounds; more of them
+#: tell rarer shingles apart.
+COUNTER_BYTES = 128
+MIN_COUNTERS, MAX_COUNTERS = 1 << 20, 1 << 24
 
 #: Members of a list compared by one task at once.
 LIST_BLOCK = 2000
@@ -47,7 +50,7 @@ LIST_BLOCK = 2000
 #: Members of short lists that go into one group, about.
 BUNDLE_MEMBERS = 10_000
 
-_SLICE = 1 << 12
+_SLICE = 1 << 15
 _SIGNATURE = pa.schema([
     ("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()),
     ("prefix", pa.binary()), ("bits", pa.binary()),
@@ -73,35 +76,46 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield hashes[:0]
 
 
-def shingle_counters(rows: DataFrame, counters: int = COUNTERS) -> np.ndarray:
+def shingle_counters(rows: DataFrame, counters: int | None = None) -> np.ndarray:
     """Number of (document, shingle) pairs per counter, over all documents; one table per task is summed."""
+    if counters is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        counters = min(MAX_COUNTERS, max(MIN_COUNTERS, 1 << (size // COUNTER_BYTES).bit_length()))
+    width = min(_SLICE, counters)
     schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         table = np.zeros(counters, "<u4")
         for block in blocks(batches):
             found = list(shingle_sets(block.column(1)))
             if found:
                 np.add.at(table, (np.concatenate(found) & np.uint64(counters - 1)).astype(np.int64), 1)
         if table.any():
-            parts = table.reshape(-1, min(_SLICE, counters))
-            yield record(schema, np.arange(len(parts)), [p.tobytes() for p in parts])
+            parts = table.reshape(-1, width)
+            yield record(schema, np.arange(len(parts)), [squeeze(p) for p in parts])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_py(), "<u4").astype(np.int64) for v in table["counts"])
-        return pa.Table.from_batches([record(schema, table["slice"][:1].combine_chunks(), [total.astype("<i8").tobytes()])])
+        expand = zstandard.ZstdDecompressor().decompress
+        total = np.zeros(width, np.int64)
+        for part in table["counts"]:
+            total += np.frombuffer(expand(part.as_py()), "<u4")
+        total = zstandard.ZstdCompressor(level=1).compress(np.minimum(total, 2**32 - 1).astype("<u4"))
+        return pa.Table.from_batches([record(schema, table["slice"][:1].combine_chunks(), [total])])
 
     summed = rows.mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary")
-    result = np.zeros((counters // min(_SLICE, counters), min(_SLICE, counters)), np.int64)
+    result = np.zeros((counters // width, width), np.uint32)
+    expand = zstandard.ZstdDecompressor().decompress
     for row in summed.collect():  # as many rows as slices
-        result[row["slice"]] = np.frombuffer(row["counts"], "<i8")
+        result[row["slice"]] = np.frombuffer(expand(row["counts"]), "<u4")
     return result.ravel()
 
 
 def frequency_class(counts: np.ndarray) -> np.ndarray:
     """0 for shingles that no counter shows to be frequent, else the doublings above four times the mean."""
-    level = counts / max(1.0, 4 * counts.mean())
-    return np.ceil(np.log2(np.maximum(level, 1.0))).astype(np.uint8)
+    rare = max(1.0, 4 * counts.mean())
+    doublings = lambda part: np.ceil(np.log2(np.maximum(part / rare, 1.0))).astype(np.uint8)
+    return np.concatenate([doublings(counts[at : at + _SLICE]) for at in range(0, len(counts), _SLICE)])
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
