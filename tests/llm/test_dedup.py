@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from themata.llm import components, hnsw, jaccard_join, run_index, superkmer
@@ -207,6 +208,39 @@ def test_bitmaps_never_drop_a_link():
             assert jaccard_join.may_link(len(x), bits[0], len(y), bits[1])
 
 
+@pytest.mark.parametrize("spanning", [True, False])
+def test_bundles_of_lists(spanning):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, (3, 400)).astype(np.uint64)
+    made = [np.append(base[i % 3][: 300 + i], rng.integers(0, 2**63, i % 23).astype(np.uint64)) for i in range(90)]
+    rows = [(k, i, i // 2) for k in (-5, 0, 7) for i in range(90) if rng.random() < 0.7]
+    bits = [jaccard_join.parity_bits(m) for m in made]
+    table = pa.table({
+        "key": [k for k, _, _ in rows], "id": [i for _, i, _ in rows], "component": [c for _, _, c in rows],
+        "n": [len(made[i]) for _, i, _ in rows], "bits": [bits[i] for _, i, _ in rows],
+    })
+    found = jaccard_join._bundle_pairs(spanning)(table).to_pylist()
+    may = lambda a, b: jaccard_join.may_link(
+        len(made[a]), np.frombuffer(bits[a], np.uint8), len(made[b]), np.frombuffer(bits[b], np.uint8)
+    )
+    every = {(k, a, b) for k, a, c in rows for k2, b, d in rows if k == k2 and a < b and c != d and may(a, b)}
+    pairs = {(r["key"], r["a"], r["b"]) for r in found}
+    assert len(pairs) == len(found) and every
+
+    def classes(links):
+        root = {(k, c): (k, c) for k, _, c in rows}
+        for k, a, b in sorted(links):
+            x, y = root[k, a // 2], root[k, b // 2]
+            root = {v: x if r == y else r for v, r in root.items()}
+        return {frozenset(v for v in root if root[v] == r) for r in root.values()}
+
+    if spanning:  # a forest over the components of each list
+        assert pairs <= every and classes(pairs) == classes(every)
+        assert len(pairs) == len({(k, c) for k, _, c in rows}) - len(classes(every))
+    else:
+        assert pairs == every
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(0, 40)]
     star = [(100, i) for i in range(101, 160)]

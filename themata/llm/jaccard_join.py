@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import broadcast_if_small, materialise
-from themata.llm.batches import LOWER, Words, blocks, record, texts
+from themata.llm.batches import LOWER, Words, blocks, record, steps, texts
 from themata.llm.components import components
 from themata.llm.superkmer import mix, rolling_hash
 
@@ -304,13 +304,14 @@ def _block_pairs(members: DataFrame, bundles: int, spanning: bool) -> DataFrame:
 
 
 def _bundle_pairs(spanning: bool):
-    """Function from whole lists to their pairs ``(key, a, b)`` as in ``_block_pairs``. Members are sorted by list and
-    size, and each is compared with the next one, the one after that and so on, for all lists at once."""
+    """Function from whole lists to their pairs ``(key, a, b)`` as in ``_block_pairs``. In an order of its own in
+    each list, the first member is compared with all others, then the second one, and so on, for all lists at once; so
+    with ``spanning`` most pairs of a list share one member, which differs from list to list."""
     schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
         key, ids, component, sizes = (table[c].to_numpy() for c in ("key", "id", "component", "n"))
-        order = np.lexsort((ids, sizes, key))
+        order = np.lexsort((mix(ids.astype(np.uint64) ^ mix(key.astype(np.uint64))), key))
         key, ids, component, sizes = key[order], ids[order], component[order], sizes[order]
         bits = table["bits"].combine_chunks().take(pa.array(order)).to_pylist()
         widths = np.fromiter(map(len, bits), np.int64, len(bits))
@@ -329,15 +330,18 @@ def _bundle_pairs(spanning: bool):
         label[by] = np.cumsum(new)
         root = np.arange(len(key) + 1)
         lists, firsts, seconds = [], [], []
-        left, step = np.arange(len(key)), 0
-        while True:
-            step += 1
-            left = left[: np.searchsorted(left, len(key) - step)]
-            left = left[(key[left] == key[left + step]) & (5 * sizes[left] >= 4 * sizes[left + step])]
-            if not len(left):
-                break
-            i = left[root[label[left]] != root[label[left + step]]]
-            j, ok = i + step, np.zeros(len(i), bool)
+        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        lengths = np.diff(np.append(heads, len(key)))
+        for step in range(int(lengths.max()) - 1):
+            longer = lengths > step + 1
+            heads, lengths = heads[longer], lengths[longer]
+            rest = lengths - step - 1
+            i = np.repeat(heads + step, rest)
+            j = i + 1 + steps(rest)
+            fits = (root[label[i]] != root[label[j]]) & (5 * sizes[i] >= 4 * sizes[j]) & (5 * sizes[j] >= 4 * sizes[i])
+            i, j = i[fits], j[fits]
+            i, j = np.where(widths[i] <= widths[j], i, j), np.where(widths[i] <= widths[j], j, i)
+            ok = np.zeros(len(i), bool)
             for width, rows in whole.items():
                 for other, near in ((width, whole), (2 * width, half)):
                     if other in near:
