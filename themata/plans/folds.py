@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from themata.cluster import materialise, shared_folder
+from themata.cluster import materialise, shared_folder, spread
 from themata.functions.blocks import lists, matrix
 from themata.operators import centroids, dictionary as D, mixture
 from themata.operators.neighbours import METRICS
@@ -53,7 +53,7 @@ def fold_terms(tokens: DataFrame, fold: Column, k: int, n_dims: int, label: str
     left out.
     """
     used = tokens.withColumn("__fold", fold).where(F.col(label).isNotNull() & F.col("__fold").isNotNull())
-    return _fold_terms(materialise(used.select("__fold", F.col(label).alias("label"), "tokens")), k, n_dims)
+    return _fold_terms(spread(materialise(used.select("__fold", F.col(label).alias("label"), "tokens"))), k, n_dims)
 
 
 def _sizes(used: DataFrame, k: int) -> dict:
@@ -144,7 +144,7 @@ def fit_chain(tokens: DataFrame, fold: Column, k: int, n_dims: int = 3000, metho
     if method not in TRANSFORMS:
         raise ValueError(f"no such transform: {method}")
     used = tokens.withColumn("__fold", fold.cast("int")).where(F.col(label).isNotNull() & F.col("__fold").isNotNull())
-    used = materialise(used.select("doc_id", F.col(label).alias("label"), "__fold", "tokens"))
+    used = spread(materialise(used.select("doc_id", F.col(label).alias("label"), "__fold", "tokens")))
     sizes = _sizes(used, k)
     selected = _fold_terms(used, k, n_dims).orderBy("fold", "rank").collect()  # at most k x n_dims
     if not selected:
@@ -159,7 +159,7 @@ def fit_chain(tokens: DataFrame, fold: Column, k: int, n_dims: int = 3000, metho
     path = f"{shared_folder(tokens.sparkSession)}/themata/{uuid.uuid4().hex}"
     stored = counted.select("doc_id", "label", "counts", F.col("__fold").alias("fold"))
     stored.write.partitionBy("fold").parquet(path)
-    rows = tokens.sparkSession.read.schema(stored.schema).parquet(path)
+    rows = spread(tokens.sparkSession.read.schema(stored.schema).parquet(path))
     chain = FoldChain(rows, len(terms), list(sizes), sizes, features, [None] * k)
     if method == "entropy":
         _fit_entropy(chain, k)
