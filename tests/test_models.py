@@ -136,6 +136,32 @@ def test_pruning_visits_few_cells(spark):
     assert got == want
 
 
+def test_blocks_grow_with_the_rows():
+    """What moves is rows times the blocks of the other side: the number of blocks may not grow with the rows."""
+    blocks = [-(-n // neighbours.rows_of_blocks(n, 64)) for n in (10_000, 100_000, 500_000)]
+    assert blocks == [3, 8, 8]
+    assert neighbours.rows_of_blocks(10**9, 64) * 64 * 8 <= neighbours.BLOCK_BYTES
+
+
+@pytest.mark.parametrize("metric", ["euclidean", None])
+def test_first_rows_of_a_block_with_ties(metric):
+    rng = np.random.default_rng(2)
+    t, q, ids = rng.integers(0, 3, (2000, 3)).astype(float), rng.integers(0, 3, (5, 3)).astype(float), rng.permutation(2000)
+    largest = []
+
+    def city(a, b):
+        largest.append(len(b))
+        return np.abs(a[:, None, :] - b[None, :, :]).sum(2)
+
+    exact = city(q, t) if metric is None else neighbours.distances(q, t)
+    largest.clear()
+    found, dist = neighbours.block_top_k(q, t, ids, 7, city if metric is None else None)
+    for r in range(5):
+        want = np.lexsort((ids, exact[r].round(9)))[:7]
+        assert found[r].tolist() == want.tolist() and np.allclose(dist[r], exact[r][want])
+    assert max(largest, default=0) <= 512
+
+
 def test_constant_columns_do_not_count(clusters):
     wider = clusters.select("id", "label", F.concat("features", F.array(F.lit(3.0))).alias("features"))
     for method in ({"method": "KNN", "n_neighbors": 3, "metric": "mahalanobis"}, {"method": "MEAN", "metric": "mahalanobis"}):
