@@ -304,6 +304,25 @@ def test_hinge_sums_in_two_levels(clusters):
     assert np.allclose(one, two) and one.shape == (8, 2)
 
 
+def test_hinge_sums_of_packed_rows(clusters, monkeypatch):
+    """Rows are stored as given, packed, and mapped as they are read."""
+    monkeypatch.setattr(learners, "BLOCK_ROWS", 7)
+    kernel = learners.kernel_rows(clusters, "rbf", random_features=16)
+    rows = kernel.data.select((F.ascii("label") - 97).alias("y"), "v")
+    assert len(rows.first()["v"]) == 6
+    w = np.random.default_rng(0).normal(size=(17, 2)) / 9
+    stored = learners.packed(rows, 6)
+    assert dict(stored.dtypes) == {"y": "binary", "x": "binary"} and stored.count() >= 240 / 7
+    one, two = (learners.hinge_sums(df, w, np.array([0, 0]), np.array([1, 2]), False, kernel.mapping, 6) for df in (rows, stored))
+    found = rows.collect()
+    x, y = kernel.mapping(np.array([r["v"].toArray() for r in found])), np.array([r["y"] for r in found])
+    for k, other in enumerate((1, 2)):
+        own = (y == 0) | (y == other)
+        loss = 1 - np.where(y == other, 1, -1) * (x @ w[:-1, k] + w[-1, k])
+        assert one[0, k] == pytest.approx(np.maximum(loss[own], 0).sum())
+    assert np.allclose(one, two)
+
+
 def test_forest_and_network(clusters):
     forest = learners.fit_forest(clusters, n_estimators=10)
     assert score(forest, clusters) > 0.9
