@@ -63,6 +63,21 @@ def test_training_equals_a_plain_loop(spark, clusters, monkeypatch):
         assert len(model.history) == epochs and model.history[-1] < model.history[0]
 
 
+def test_steps_of_small_batches_plan_nothing(spark, clusters, monkeypatch):
+    """A step of a small batch reads no table, and equals the step that does."""
+    shape, labels = network.Shape([6, 5, 4], ["relu"]), ["a", "b", "c", "d"]
+    flats = [shape.initial(0), shape.initial(1)]
+    monkeypatch.setattr(network, "STORED_ROWS", 100)
+    dealt = network.deal_batches(clusters, labels, 50)
+    kept = dealt.kept(6)
+    assert kept.getNumPartitions() == 3 and sorted(kept.keys().collect()) == [0, 1, 2, 3, 4]
+    for number in range(5):
+        one, two = network.batch_gradients(dealt.read(number), shape, flats), network.small_batch_gradients(kept, number, dealt.together, shape, flats)
+        assert np.allclose(one[0], two[0]) and np.allclose(one[1], two[1])
+    monkeypatch.setattr(network.Batches, "read", None)
+    assert len(network.fit_networks(clusters, [0.01], ((4, "relu"),), 1, 50)[0].history) == 1
+
+
 def test_sums_in_two_levels(spark, clusters):
     shape = network.Shape([6, 5, 4], ["relu"])
     flats = [shape.initial(0), shape.initial(1)]
