@@ -76,7 +76,7 @@ def _neighbourhoods(labelled: DataFrame) -> DataFrame:
     schema = pa.schema([("token", pa.string()), ("near", pa.int64()), ("toxic", pa.int32())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, 1 << 20):
+        for block in blocks(batches, 1 << 18):
             words = Words(block.column(1), _APART)
             if not len(words.codes):
                 continue
