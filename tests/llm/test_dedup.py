@@ -1,12 +1,14 @@
 """Repeated windows, near copies and embeddings against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from themata.llm import components, hnsw, jaccard_join, run_index, superkmer
+from themata.llm.batches import gather
 
 
 def _kept_words(rows, window):
@@ -284,3 +286,29 @@ def test_links_of_texts_that_share_an_id(spark):
     table = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
     found = {(r["doc_id"], r["component_id"]) for r in jaccard_join.near_duplicates(table).collect()}
     assert found == {(i, i) for i in range(20)} | set(want.items())
+
+
+def peak_of(work):
+    """Bytes that ``work`` holds at most, its result included, and the result."""
+    tracemalloc.start()
+    try:
+        found = work()
+        return tracemalloc.get_traced_memory()[1], found
+    finally:
+        tracemalloc.stop()
+
+
+def test_gathering_holds_few_places_at_once():
+    flat, n = np.arange(1 << 22, dtype=np.int64).astype(np.uint8), 1 << 15
+    codes = np.arange(n)[::-1]
+    starts, lengths = np.arange(n) * 128, np.full(n, 128)
+    peak, (text, ends) = peak_of(lambda: gather(flat, starts, lengths, codes))
+    assert (text.reshape(n, 128) == flat.reshape(n, 128)[::-1]).all() and ends[-1] == len(flat)
+    assert peak < 5 * len(flat)  # a byte each, and places of a part
+
+
+def test_sorting_rotations_holds_few_copies():
+    text = np.random.default_rng(0).integers(97, 101, 1 << 18).astype(np.uint8)
+    peak, index = peak_of(lambda: run_index.RunIndex(text, 100))
+    assert peak < 64 * len(text)
+    assert (index.intervals(text, np.array([0]), np.array([len(text)]), 100)[: len(text) - 99] >= 0).all()

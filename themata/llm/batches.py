@@ -97,13 +97,24 @@ def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
+#: Items whose places ``gather`` holds at once.
+GATHERED = 1 << 19
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray):
     """The pieces ``flat[starts[c] : starts[c] + lengths[c]]`` of all codes in one array, and where each ends."""
     counts = lengths[codes]
     ends = np.cumsum(counts)
-    place = np.repeat((starts[codes] - ends + counts).astype(np.int32), counts)
-    place += np.arange(len(place), dtype=np.int32)
-    return flat[place], ends
+    out = np.empty(ends[-1] if len(ends) else 0, flat.dtype)
+    low = 0
+    while low < len(codes):
+        done = ends[low] - counts[low]
+        high = max(low + 1, int(np.searchsorted(ends, done + GATHERED, side="right")))
+        place = np.repeat(starts[codes[low:high]] - ends[low:high] + counts[low:high], counts[low:high])
+        place += np.arange(done, ends[high - 1])
+        out[done : ends[high - 1]] = flat[place]
+        low = high
+    return out, ends
 
 
 class Generations:

@@ -52,7 +52,7 @@ _PLACE = np.uint64((1 << 24) - 1)
 BUCKET_BYTES = 4 << 20
 
 #: Bytes of text hashed at once.
-PART_BYTES = 1 << 19
+PART_BYTES = 1 << 18
 
 #: Bits of a bitmap, and bitmaps (of 4 KB) at most, in the filter of documents with spans.
 PAGE_BITS = 1 << 15
@@ -176,6 +176,7 @@ def _packer(window: int, buckets: int, frequent_):
                     kept.append(i)
                 elif ids[i] != ids[j] or digests[i] != digests[j] or place[i] != place[j]:
                     again.append(i)
+            del seen, order
             kept = np.array(kept)
             kept = kept[np.argsort(bucket[kept], kind="stable")]
             cuts = np.flatnonzero(np.diff(bucket[kept], prepend=-1, append=-1)) if len(kept) else np.zeros(1, int)
@@ -189,7 +190,9 @@ def _packer(window: int, buckets: int, frequent_):
                     name, squeeze(text), squeeze((last - first)[own].astype("<i4").tobytes()), marks[own].astype("<u4").tobytes() if with_text else b"",
                     squeeze(ids[own].astype("<i8").tobytes()), squeeze(digests[own].astype("<i8").tobytes()), squeeze(place[own].astype("<i4").tobytes()),
                 ))
-            yield record(_PACKED, *zip(*rows))
+            packed = record(_PACKED, *zip(*rows))
+            del raw, rows, begin, end
+            yield packed
 
     return pack
 
@@ -201,9 +204,10 @@ class RunIndex:
         n = self.n = len(text)
         order, rank = self._sorted(text, depth - 1)
         # places whose rotation differs from the one before within depth - 1 symbols
-        ranks = rank[order]
-        self.parted = np.append(np.flatnonzero(np.diff(ranks, prepend=-1)), n)
+        self.parted = np.append(np.flatnonzero(np.diff(rank[order], prepend=-1)), n)
+        del rank
         symbols = text[order - 1].astype(np.int64)
+        del order
         heads = np.flatnonzero(np.diff(symbols, prepend=-1))
         lengths = np.diff(np.append(heads, n))
         by_symbol = np.lexsort((heads, symbols[heads]))
@@ -224,15 +228,19 @@ class RunIndex:
         have = 8
         while True:
             order = np.argsort(key, kind="stable")
-            changed = np.empty(n, np.int64)
-            changed[0] = 0
-            np.not_equal(key[order][1:], key[order][:-1], out=changed[1:], casting="unsafe")
+            key = key[order]
+            changed = np.zeros(n, bool)
+            np.not_equal(key[1:], key[:-1], out=changed[1:])
+            del key
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(changed)
             if have == depth:
                 return order, rank
+            del order
             step = min(have, depth - have)
-            key = rank.astype(np.uint64) * np.uint64(n) + np.roll(rank, -step).astype(np.uint64)
+            key = rank.astype(np.uint64)
+            key *= np.uint64(n)
+            key += np.roll(rank, -step).view(np.uint64)
             have += step
 
     def count(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -285,8 +293,12 @@ def _repetitive(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, windo
         part = _far(_grams(text[at : at + PART_BYTES + half - 1]), half) >> np.uint64(64 - bits)
         slots[at : at + PART_BYTES] = part
         np.add.at(counts, part.astype(np.int64), 1)
-    once = np.zeros(len(slots) + 1, np.int32)
-    np.cumsum(counts[slots] == 1, out=once[1:])
+    single = np.empty(len(slots), bool)
+    for at in range(0, len(slots), PART_BYTES):
+        single[at : at + PART_BYTES] = counts[slots[at : at + PART_BYTES]] == 1
+    del slots, counts
+    once = np.zeros(len(single) + 1, np.int32)
+    np.cumsum(single, out=once[1:])
     keep = inside & (once[window - half + 1 :] == once[: len(once) - window + half - 1])
     change = np.diff(keep.view(np.int8), prepend=0, append=0)
     first, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
@@ -317,6 +329,9 @@ def _finder(window: int, buckets: int):
         first[string[order[::-1]]] = order[::-1]
         position = np.empty(len(order), np.int64)
         position[order] = np.arange(len(order))
+        # documents by number in the same order
+        document = np.empty(len(order), np.int64)
+        document[order] = np.cumsum((np.diff(ids[order], prepend=ids[order[0]]) != 0) | (np.diff(digests[order], prepend=digests[order[0]]) != 0))
         marks = column("marks", "<u4", False)[first]
         _, by_mark, sizes = np.unique(marks & 0x7FFFFFFF, return_inverse=True, return_counts=True)
         shared = np.flatnonzero((sizes[by_mark] > 1) | (marks >> 31 > 0))
@@ -328,6 +343,7 @@ def _finder(window: int, buckets: int):
             part = shared[which]
         # windows by the interval of their content
         text, ends = gather(flat, offsets[first[part]] + ahead, own, np.arange(len(part)))
+        del flat, data, strings, coded  # a bucket's texts, several times over
         group = np.full(len(text), -1, np.int64)
         if len(part):
             group = RunIndex(text, window).intervals(text, ends - own, own, window)
@@ -335,13 +351,13 @@ def _finder(window: int, buckets: int):
         place = np.flatnonzero(group >= 0)
         which = np.repeat(np.arange(len(part)), own)[place]
         base = first[part[which]]
-        offset = place - (ends - own - ahead)[which]
-        at = np.lexsort((starts[base] + offset, digests[base], ids[base], group[place]))
-        head = np.maximum.accumulate(np.where(np.diff(group[place][at], prepend=-1) != 0, np.arange(len(at)), 0))
-        earliest = at[head]  # per sorted window, the window that comes first
+        whence = document[base] << 32 | starts[base] + place - (ends - own - ahead)[which]
+        del which, base
+        at = np.lexsort((whence, group[place]))
+        head = np.maximum.accumulate(np.where(np.diff(group[place[at]], prepend=-1) != 0, np.arange(len(at)), 0))
         later = np.zeros(len(text), bool)
-        same = (ids[base[at]] == ids[base[earliest]]) & (digests[base[at]] == digests[base[earliest]])
-        later[place[at]] = ~(same & (starts[base[at]] + offset[at] == starts[base[earliest]] + offset[earliest]))
+        later[place[at]] = whence[at] != whence[at[head]]  # than the window of this content that comes first
+        del group, place, whence, at, head
         # other occurrences of a string repeat all its windows, its first one those found above
         repeated = position != position[first[string]]
         i = np.flatnonzero(repeated)

@@ -46,6 +46,9 @@ BUCKET_BYTES = 4 << 20
 #: Bytes of windows that one minimiser may bring to its bucket before the joining of equal strings.
 HOT_BYTES = 4 << 20
 
+#: Bytes of text whose hashes are counted at once.
+COUNTED_BYTES = 1 << 19
+
 #: Counters of the table of frequent hashes (a power of two). More of them keep rare hashes apart on larger corpora.
 COUNTERS = 1 << 22
 
@@ -109,7 +112,7 @@ def frequent(rows: DataFrame, grams: Callable, size: int) -> np.ndarray | None:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(COUNTERS, np.int64)
-        for block in blocks(batches):
+        for block in blocks(batches, COUNTED_BYTES):
             hashes, around = grams(block)
             if len(hashes):
                 np.add.at(table, (hashes & np.uint64(COUNTERS - 1)).astype(np.int64), around)
