@@ -336,3 +336,11 @@ def test_ids_of_dotted_capital_i(spark):
     found = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.best_fit_packing(table, public_tokenizer()).collect()}
     ids = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
     assert found == {i: (len(own), zlib.crc32(own.tobytes())) for i, own in enumerate(ids)}
+
+
+def test_toxic_neighbourhoods_of_little_text_per_task(spark):
+    rows = spark.range(6000, numPartitions=1).select("id", F.repeat(F.concat(F.lit("word "), F.col("id")), 50).alias("text"), F.lit(1).alias("toxic"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    sizes = [sum(len(r["text"]) for r in part) for part in toxicity._dealt(rows).rdd.glom().collect()]
+    assert size > 2 * toxicity.TASK_BYTES
+    assert max(sizes) < 1.2 * toxicity.TASK_BYTES and sum(sizes) == size

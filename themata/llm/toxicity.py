@@ -38,6 +38,9 @@ from themata.llm.batches import Words, blocks, record, texts, translation
 #: Labelled rows that the model is fitted on.
 LABELLED = 20_000
 
+#: Bytes of labelled text whose neighbourhoods a task makes distinct; each word brings three rows.
+TASK_BYTES = 1 << 20
+
 #: Neighbourhoods in toxic documents that a token needs at least.
 SUPPORT = 3
 
@@ -71,6 +74,12 @@ def _tokens(words: Words) -> list[pa.Array]:
     return [whole, five, pc.if_else(pc.equal(five, four), pa.scalar(None, four.type), four)]
 
 
+def _dealt(labelled: DataFrame) -> DataFrame:
+    """The stored sample in tasks of about ``TASK_BYTES`` of text, whatever its files."""
+    size = labelled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return labelled.repartition(max(1, math.ceil(size / TASK_BYTES)))
+
+
 def _neighbourhoods(labelled: DataFrame) -> DataFrame:
     """``(token, n_toxic, n_clean)`` in distinct neighbourhoods of the labelled texts."""
     schema = pa.schema([("token", pa.string()), ("near", pa.int64()), ("toxic", pa.int32())])
@@ -92,7 +101,7 @@ def _neighbourhoods(labelled: DataFrame) -> DataFrame:
                 seen = seen.group_by(schema.names).aggregate([])
                 yield from seen.select(schema.names).cast(schema).to_batches()
 
-    found = labelled.mapInArrow(emit, "token string, near long, toxic int").distinct()
+    found = _dealt(labelled).mapInArrow(emit, "token string, near long, toxic int").distinct()
     toxic = F.col("toxic").cast("long")
     return found.groupBy("token").agg(F.sum(toxic).alias("n_toxic"), F.sum(1 - toxic).alias("n_clean"))
 
