@@ -117,3 +117,23 @@ def test_list_columns(spark):
     df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, features array<double>")
     found, _, _ = wide.covariance_axes(df.select("id", array_to_vector("features").alias("features")), 4)
     assert np.allclose(np.abs(found.vectors), np.abs(reduce.fit_pca(df, 4).components), atol=1e-6)
+
+
+def test_packed_products_shuffle_once_however_many_files(spark, monkeypatch):
+    """Frequent columns are multiplied as a matrix; tasks, and what they shuffle, do not follow the files."""
+    monkeypatch.setattr(wide, "DENSE_WIDTH", 10)
+    monkeypatch.setattr(wide, "CELLS", 100)
+    rng = np.random.default_rng(5)
+    x, w = sparse_rows(300, 130, rng), rng.normal(size=(130, 4))
+    df = table(spark, x, as_dense=(3, 77)).repartition(50)
+    for hot in (np.arange(0), np.array([3, 17, 64]), np.arange(130)):
+        rows = wide.packed(df, "features", hot, 130)
+        assert np.allclose(wide.packed_times(rows, hot, w, 3), x.T @ (x @ w))
+    seen = []
+    real = wide.packed_times
+    monkeypatch.setattr(wide, "packed_times", lambda rows, hot, w, tasks: seen.append((rows, len(hot), tasks)) or real(rows, hot, w, tasks))
+    monkeypatch.setattr(wide, "HOT_COLUMNS", 20)
+    wide.covariance_axes(df, 3)
+    rows, n_hot, tasks = seen[0]
+    assert n_hot == 20 and rows.coalesce(tasks).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert len({r.semanticHash() for r, _, _ in seen}) == 1  # stored once, read in each pass
