@@ -369,3 +369,11 @@ def test_compare_models_and_single_run(spark):
     single = experiments.single_run(tokens.where("doc_id < 40"), tokens.where("doc_id >= 40"), {"method": "MEAN", "metric": "euclidean"},
                                     reduction="LDA", **chain)
     assert single > 0.8
+
+
+def test_mixture_steps_read_blocks_of_bytes(spark):
+    rows = spark.range(3000, numPartitions=1).select((F.col("id") % 3).cast("int").alias("label"), F.array(F.col("id") * 0.5, F.rand(1)).alias("x"))
+    blocks = mixture._packed(rows, 2).collect()
+    assert len(blocks) == 9 and max(len(b["x"]) for b in blocks) <= 1024 * 16  # three classes in three chunks
+    stored = {(b["label"], v) for b in blocks for v in np.frombuffer(b["x"]).reshape(-1, 2)[:, 0].tolist()}
+    assert stored == {(i % 3, i * 0.5) for i in range(3000)}
