@@ -344,3 +344,24 @@ def test_toxic_neighbourhoods_of_little_text_per_task(spark):
     sizes = [sum(len(r["text"]) for r in part) for part in toxicity._dealt(rows).rdd.glom().collect()]
     assert size > 2 * toxicity.TASK_BYTES
     assert max(sizes) < 1.2 * toxicity.TASK_BYTES and sum(sizes) == size
+
+
+def test_toxic_neighbourhoods_move_as_words(spark, monkeypatch):
+    """Tokens are the same as those of the words themselves, and only words are shuffled before they are distinct."""
+    texts = ["Éclair abcd abcde ab ABC x", "abcd abcde ab", "", None, "ééééé-éééé éééééé a", "abcde abcd abcde abcd abcde"] * 3
+    rows = [(i, t or "", i % 2) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "id long, text string, toxic int").repartition(4)
+    near = {}
+    for _, text, label in rows:
+        own = re.findall("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", text)
+        own = ["".join(c.lower() if c < "\x80" else c for c in w) for w in own]
+        for before, w, after in zip([None, *own], own, [*own[1:], None]):
+            for token in {w.lower() + " ", w.lower()[:5], w.lower()[:4]}:
+                near.setdefault(token, set()).add((label, before, after))
+    monkeypatch.setattr(toxicity, "TASK_BYTES", 100)
+    counted = toxicity._neighbourhoods(table)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    got = {r["token"]: (r["n_toxic"], r["n_clean"]) for r in counted.collect()}
+    assert got == {t: (sum(x[0] for x in s), sum(1 - x[0] for x in s)) for t, s in near.items()}
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(moved) == 2 and "near" in moved[1] and "token" not in moved[1], plan

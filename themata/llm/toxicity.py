@@ -32,13 +32,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from themata.cluster import materialise
+from themata.cluster import materialise, unnest
 from themata.llm.batches import Words, blocks, record, texts, translation
 
 #: Labelled rows that the model is fitted on.
 LABELLED = 20_000
 
-#: Bytes of labelled text whose neighbourhoods a task makes distinct; each word brings three rows.
+#: Bytes of labelled text whose neighbourhoods a task makes distinct; a word has three tokens.
 TASK_BYTES = 1 << 20
 
 #: Neighbourhoods in toxic documents that a token needs at least.
@@ -74,15 +74,21 @@ def _tokens(words: Words) -> list[pa.Array]:
     return [whole, five, pc.if_else(pc.equal(five, four), pa.scalar(None, four.type), four)]
 
 
+def _tasks(labelled: DataFrame) -> int:
+    """Tasks of about ``TASK_BYTES`` of text for the stored sample."""
+    size = labelled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, math.ceil(size / TASK_BYTES))
+
+
 def _dealt(labelled: DataFrame) -> DataFrame:
     """The stored sample in tasks of about ``TASK_BYTES`` of text, whatever its files."""
-    size = labelled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return labelled.repartition(max(1, math.ceil(size / TASK_BYTES)))
+    return labelled.repartition(_tasks(labelled))
 
 
-def _neighbourhoods(labelled: DataFrame) -> DataFrame:
-    """``(token, n_toxic, n_clean)`` in distinct neighbourhoods of the labelled texts."""
-    schema = pa.schema([("token", pa.string()), ("near", pa.int64()), ("toxic", pa.int32())])
+def _seen_words(labelled: DataFrame) -> DataFrame:
+    """``(word, near, toxic)``: words of the labelled texts in lower case with a hash of the words before and after,
+    distinct in each block."""
+    schema = pa.schema([("word", pa.string()), ("near", pa.int64()), ("toxic", pa.int32())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, 1 << 18):
@@ -95,13 +101,21 @@ def _neighbourhoods(labelled: DataFrame) -> DataFrame:
             before[words.bounds[:-1][filled]] = after[words.bounds[1:][filled] - 1] = 0
             near = (before * np.uint64(0x9E3779B97F4A7C15) + after).astype(np.int64)
             label = np.repeat(block.column(2).to_numpy(), words.counts)
-            for coded in _tokens(words):
-                tokens = coded.take(pa.array(words.codes))
-                seen = pa.table([tokens, pa.array(near), pa.array(label)], names=schema.names).filter(pc.is_valid(tokens))
-                seen = seen.group_by(schema.names).aggregate([])
-                yield from seen.select(schema.names).cast(schema).to_batches()
+            lower = pc.utf8_lower(words.vocabulary).take(pa.array(words.codes))
+            seen = pa.table([lower, pa.array(near), pa.array(label)], names=schema.names)
+            seen = seen.group_by(schema.names).aggregate([])
+            yield from seen.select(schema.names).cast(schema).to_batches()
+
+    return labelled.mapInArrow(emit, "word string, near long, toxic int")
 
-    found = _dealt(labelled).mapInArrow(emit, "token string, near long, toxic int").distinct()
+
+def _neighbourhoods(labelled: DataFrame) -> DataFrame:
+    """``(token, n_toxic, n_clean)`` in distinct neighbourhoods of the labelled texts. Words move to the tasks of their
+    neighbourhoods and become tokens only there, so that a third of the rows is shuffled."""
+    seen = _seen_words(_dealt(labelled)).repartition(_tasks(labelled), "near")
+    five, four = F.left("word", F.lit(5)), F.left("word", F.lit(4))
+    tokens = F.array(F.concat("word", F.lit(_END)), five, F.when(five != four, four))  # as in _tokens
+    found = unnest(seen, ["near", "toxic"], tokens, "token").distinct()
     toxic = F.col("toxic").cast("long")
     return found.groupBy("token").agg(F.sum(toxic).alias("n_toxic"), F.sum(1 - toxic).alias("n_clean"))
 
