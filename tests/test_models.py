@@ -323,6 +323,17 @@ def test_hinge_sums_of_packed_rows(clusters, monkeypatch):
     assert np.allclose(one, two)
 
 
+def test_forest_keeps_the_nodes_of_its_rows(clusters, monkeypatch):
+    """Passes do not walk down all trees again, lineage is cut, and the trees are those of a fit that does."""
+    fitted = []
+    fit = learners._fit_ml
+    monkeypatch.setattr(learners, "_fit_ml", lambda df, estimator, *rest: fitted.append(estimator) or fit(df, estimator, *rest))
+    kept = learners.fit_forest(clusters, n_estimators=3).model
+    assert fitted[0].getCacheNodeIds() and clusters.sparkSession.sparkContext.getCheckpointDir()
+    plain = fit(clusters, fitted[0].copy().setCacheNodeIds(False), "features", "label").model
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]
+
+
 def test_forest_and_network(clusters):
     forest = learners.fit_forest(clusters, n_estimators=10)
     assert score(forest, clusters) > 0.9
