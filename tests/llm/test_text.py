@@ -3,8 +3,10 @@
 import math
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -346,6 +348,24 @@ def test_toxic_neighbourhoods_of_little_text_per_task(spark):
     assert max(sizes) < 1.2 * toxicity.TASK_BYTES and sum(sizes) == size
 
 
+def test_texts_are_kept_or_rejected_in_small_blocks(monkeypatch):
+    class Docs:  # hands over what runs in a task
+        columns, schema = ["doc_id", "lang", "text"], None
+        sparkSession = sparkContext = property(lambda self: self)
+        broadcast = staticmethod(lambda value: SimpleNamespace(value=value))
+        mapInArrow = staticmethod(lambda work, schema: work)
+
+    seen = []
+    scan = toxicity._scan
+    monkeypatch.setattr(toxicity, "_scan", lambda column, *rest: (seen.append(column.nbytes), scan(column, *rest))[1])
+    model = toxicity.ToxicityModel(["bad "], [3.0], 0.5, [-1.0, 2.0, 0.0, 0.0, 0.0])
+    rows = [(i, None if i % 7 == 0 else "en", None if i % 5 == 0 else ("bad " if i % 3 == 0 else "good ") * 1000) for i in range(1200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=Docs.columns)
+    kept = pa.Table.from_batches(model.accepted(Docs())(iter([batch.slice(0, 0), batch])))
+    assert kept.to_pylist() == [dict(zip(Docs.columns, r)) for r in rows if not (r[2] or "").startswith("bad")]
+    assert max(seen) < 2 << 20 < batch.nbytes
+
+
 def test_toxic_neighbourhoods_move_as_words(spark, monkeypatch):
     """Tokens are the same as those of the words themselves, and only words are shuffled before they are distinct."""
     texts = ["Éclair abcd abcde ab ABC x", "abcd abcde ab", "", None, "ééééé-éééé éééééé a", "abcde abcd abcde abcd abcde"] * 3

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 #: Bytes of text handled at once inside a task; bounds memory whatever the Arrow batch holds.
 BLOCK_BYTES = 4 << 20
 
+#: Bytes of text for steps that make a few numbers of each text, so that larger blocks save nothing. Workers go on
+#: holding most of what they once took, also in the steps that follow.
+SCAN_BYTES = 1 << 20
+
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, text)`` as long and string; null text is empty. Other columns are left behind, so that
@@ -20,10 +24,12 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """``(id, text)`` batches cut into slices of whole documents with about ``block_bytes`` of text."""
+def blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTES, place: int = 1) -> Iterator[pa.RecordBatch]:
+    """Batches, by default ``(id, text)``, cut into slices of whole documents with about ``block_bytes`` of the text
+    at ``place``, which may be null."""
     for batch in batches:
-        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        lengths = pc.fill_null(pc.binary_length(batch.column(place)), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import broadcast_if_small, materialise
-from themata.llm.batches import LOWER, Words, blocks, record, steps, texts
+from themata.llm.batches import LOWER, SCAN_BYTES, Words, blocks, record, steps, texts
 from themata.llm.components import components
 from themata.llm.superkmer import mix, rolling_hash
 
@@ -87,7 +87,7 @@ def shingle_counters(rows: DataFrame, counters: int | None = None) -> np.ndarray
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         table = np.zeros(counters, "<u4")
-        for block in blocks(batches):
+        for block in blocks(batches, SCAN_BYTES):
             found = list(shingle_sets(block.column(1)))
             if found:
                 np.add.at(table, (np.concatenate(found) & np.uint64(counters - 1)).astype(np.int64), 1)
@@ -147,7 +147,7 @@ def signatures(rows: DataFrame, order: np.ndarray) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
         digest = lambda x: (mix(x[None, :] ^ _SALTS[:, None]).sum(axis=1)).astype(np.int64).tolist()
-        for block in blocks(batches):
+        for block in blocks(batches, SCAN_BYTES):
             out = []
             for i, found in zip(block.column(0).to_pylist(), shingle_sets(block.column(1))):
                 n = len(found)

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import materialise, unnest
-from themata.llm.batches import Words, blocks, record, texts, translation
+from themata.llm.batches import SCAN_BYTES, Words, blocks, record, texts, translation
 
 #: Labelled rows that the model is fitted on.
 LABELLED = 20_000
@@ -128,7 +128,7 @@ def _corpus_counts(rows: DataFrame, tokens: list[str]) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.array(shared.value, pa.string())
-        for block in blocks(batches):
+        for block in blocks(batches, SCAN_BYTES):
             words = Words(block.column(1), _APART)
             if not len(words.codes):
                 continue
@@ -164,7 +164,7 @@ class ToxicityModel:
         schema = pa.schema([("id", pa.int64()), *fields, ("n_words", pa.int64()), ("evidence", pa.float64()), ("total", pa.float64()), ("segments", pa.list_(segment))])
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block in blocks(batches):
+            for block in blocks(batches, SCAN_BYTES):
                 found = _scan(block.column(1), *shared.value, decay)
                 kept = [block.column(2 + i) for i in range(len(extra))]
                 yield record(schema, block.column(0), *kept, *found)
@@ -186,11 +186,11 @@ class ToxicityModel:
         limit = math.log(threshold / (1 - threshold))
 
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                text = pc.fill_null(batch.column(place), "")
+            for block in blocks(batches, SCAN_BYTES, place):
+                text = pc.fill_null(block.column(place), "")
                 n, best, total, found = _scan(text, *shared.value, decay)
                 features = [np.ones(len(n)), np.array([bool(f) for f in found], float), best, total, np.log1p(n)]
-                yield batch.filter(pa.array(sum(w * x for w, x in zip(weights, features)) < limit))
+                yield block.filter(pa.array(sum(w * x for w, x in zip(weights, features)) < limit))
 
         return docs.mapInArrow(keep, docs.schema)
 
