@@ -366,6 +366,22 @@ def test_texts_are_kept_or_rejected_in_small_blocks(monkeypatch):
     assert max(seen) < 2 << 20 < batch.nbytes
 
 
+def test_texts_are_cut_into_pieces_in_small_blocks(monkeypatch):
+    class Docs:  # hands over what runs in a task
+        mapInArrow = staticmethod(lambda work, schema: work)
+
+    seen = []
+    work = SimpleNamespace(ids=lambda column: (seen.append(column.nbytes), packing_encoder.ids(column))[1])
+    packing_encoder = packing.encoder(public_tokenizer())
+    monkeypatch.setattr(packing, "encoder", lambda path: work)
+    monkeypatch.setattr(packing, "texts", lambda docs, *columns: docs)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array([f"word{i} " * 700 for i in range(600)])], names=["id", "text"])
+    made = pa.Table.from_batches(packing.pieces(Docs(), "")(iter([batch])))
+    lengths = made.group_by("doc_id").aggregate([("length", "sum")]).sort_by("doc_id")["length_sum"].to_pylist()
+    assert lengths == [len(packing_encoder.tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in batch.column(1).to_pylist()]
+    assert max(seen) < 2 << 20 < batch.nbytes
+
+
 def test_toxic_neighbourhoods_move_as_words(spark, monkeypatch):
     """Tokens are the same as those of the words themselves, and only words are shuffled before they are distinct."""
     texts = ["Éclair abcd abcde ab ABC x", "abcd abcde ab", "", None, "ééééé-éééé éééééé a", "abcde abcd abcde abcd abcde"] * 3

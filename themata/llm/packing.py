@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from themata.cluster import materialise
-from themata.llm.batches import blocks, record, texts
+from themata.llm.batches import SCAN_BYTES, blocks, record, texts
 from themata.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, step = encoder(tokenizer), END_ID.to_bytes(4, "little"), 4 * capacity
-        for block in blocks(batches):
+        for block in blocks(batches, SCAN_BYTES):
             ids, counts = encode.ids(block.column(1))
             raw, at = memoryview(ids.tobytes()), 0
             rows = []
