@@ -102,3 +102,24 @@ def test_network_learns_and_leaves_out_null_labels(spark, clusters):
 def test_swept_sets():
     swept = experiments.grids()["ANN"]
     assert len(swept) == 20 and sorted({p["learning_rate"] for p in swept}) == [0.001, 0.201, 0.401, 0.601, 0.801]
+
+
+def test_a_task_takes_all_steps_of_a_run(spark, clusters, monkeypatch):
+    """Runs of two steps: a job each instead of a job a step, with the same result as one loop."""
+    monkeypatch.setattr(network, "RUN_BYTES", 2 * 8 * 6 * 50)
+    calls, real = [], network.run_of_steps
+    monkeypatch.setattr(network, "run_of_steps", lambda runs, number, *rest: calls.append(number) or real(runs, number, *rest))
+    monkeypatch.setattr(network, "small_batch_gradients", None)
+    models = network.fit_networks(clusters, [0.01, 0.05], ((8, "relu"), (4, "tanh")), 2, 50, 9)
+    assert calls == [0, 1, 2, 0, 1, 2]
+    batches = [(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows])) for rows in (network.deal_batches(clusters, models[0].labels, 50, 9).read(b).collect() for b in range(5))]
+    for model, rate in zip(models, (0.01, 0.05)):
+        assert np.allclose(model.parameters, plain_adam(model.shape, batches, network.epoch_orders(5, 2, 9), rate, 9), atol=1e-9)
+
+
+def test_moments_of_dead_units_end_at_zero():
+    state = network.Adam(np.ones(3), 0.1)
+    state.step(np.array([1.0, 1e-200, 0.0]))
+    for _ in range(7000):
+        state.step(np.zeros(3))
+    assert state.first.tolist() == [0.0, 0.0, 0.0] and state.second[0] > 0 and state.second[1] == 0
