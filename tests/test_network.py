@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from themata.checks.queries import QUERIES
 from themata.operators import network
 from themata.plans import experiments
 
@@ -123,3 +124,13 @@ def test_moments_of_dead_units_end_at_zero():
     for _ in range(7000):
         state.step(np.zeros(3))
     assert state.first.tolist() == [0.0, 0.0, 0.0] and state.second[0] > 0 and state.second[1] == 0
+
+
+def test_the_sweep_has_all_its_sets(spark, tmp_path):
+    """Every batch size of the sweep with every learning rate, over rows of our own."""
+    words = ["ball goal team", "bank rate loan", "vote law court"]
+    rows = [(i, f"{words[i % 3]} {words[i % 3]} word{i % 7}", "abc"[i % 3]) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = [r["params"] for r in QUERIES["sweep_ann"](spark, str(tmp_path)).collect()]
+    assert len(found) == len(set(found)) == 20
+    assert {p for row in found for p in row.split(",") if p.startswith("batch")} == {f"batch_size={n}" for n in (10, 20, 50, 80)}
