@@ -1,5 +1,7 @@
 """Leading axes by passes over the rows, against NumPy on whole matrices."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -137,3 +139,26 @@ def test_packed_products_shuffle_once_however_many_files(spark, monkeypatch):
     rows, n_hot, tasks = seen[0]
     assert n_hot == 20 and rows.coalesce(tasks).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     assert len({r.semanticHash() for r, _, _ in seen}) == 1  # stored once, read in each pass
+
+
+def test_axes_take_little_memory_of_the_driver():
+    """A few blocks are held, however many passes there are."""
+    width, k = 40_000, 50
+    block = 8 * width * (k + wide.EXTRA)
+    spectrum = (np.arange(1, width + 1.0) ** -0.5)[:, None]
+    tracemalloc.start()
+    found = wide.top_axes(lambda w: spectrum * w, width, k, 1e-7)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.passes > 3 and most < 7 * block
+    assert np.allclose(found.values, spectrum[:k, 0], rtol=1e-9)
+    assert np.allclose(found.vectors.T @ found.vectors, np.eye(k), atol=1e-12)
+
+
+def test_restarts_lose_nothing():
+    rng = np.random.default_rng(6)
+    q = np.linalg.qr(rng.normal(size=(900, 900)))[0]
+    a = (q * np.arange(1, 901.0) ** -0.3) @ q.T
+    found = wide.top_axes(lambda w: a @ w, 900, 12)
+    assert found.passes > 6 and np.allclose(found.values, np.arange(1, 13.0) ** -0.3, rtol=1e-10)
+    assert np.allclose(a @ found.vectors, found.vectors * found.values, atol=2e-9)
