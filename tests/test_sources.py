@@ -1,5 +1,8 @@
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from themata.sources import raw
 from themata.sources.lexicon import inline_terms, normalise_lexicon, read_lexicon
 from themata.sources.raw import scan_raw, to_utf8
 from themata.sources.store import StageStore, input_fingerprint
@@ -20,6 +23,33 @@ def test_scan_raw(spark, tmp_path):
     assert all(r["doc_id"].endswith(".raw") for r in rows)
 
 
+def test_raw_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """No list of files on the driver; the same rows as by Spark's own reader, in other bounds of tasks and batches too."""
+    for i in range(60):
+        folder = tmp_path / "a b" / str(i % 7) / ("_hidden" if i % 10 == 3 else "x=1" if i % 2 else "deep")
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{'Art' if i % 3 else '.Art'}%20{i}.raw").write_bytes(f"text {i}".encode() * (i % 5))
+    (tmp_path / "a b" / "0" / "one.txt").write_bytes(b"other")
+    paths = [str(tmp_path / "a b"), f"file:{tmp_path}/a b/1", str(tmp_path / "a b" / "2" / "deep" / "Art%202.raw")]
+    with monkeypatch.context() as m:
+        m.setattr(raw, "_store", lambda *_: None)
+        want = sorted(map(tuple, scan_raw(spark, paths).collect()))
+    assert 10 < len(want) < 60
+    read = type(spark.read)
+    with monkeypatch.context() as m:
+        real = read.format
+        m.setattr(read, "format", lambda self, source: 1 / 0 if source == "binaryFile" else real(self, source))
+        for limits in ({}, {"BATCH_FILES": 3, "TASK_FILES": 5, "BATCH_BYTES": 8}):
+            for name, value in limits.items():
+                m.setattr(raw, name, value)
+            assert sorted(map(tuple, scan_raw(spark, paths).collect())) == want
+    (tmp_path / "none").mkdir()
+    assert scan_raw(spark, str(tmp_path / "none")).count() == 0
+    assert scan_raw(spark, f"{tmp_path}/a b/[12]").count() == len([r for r in want if "/a b/1/" in r[0] or "/a b/2/" in r[0]])
+    with pytest.raises(AnalysisException):
+        scan_raw(spark, str(tmp_path / "gone")).count()
+
+
 def test_to_utf8(spark):
     rows = [(1, "плюс".encode()), (2, "плюс".encode("cp1251")), (3, b"plain"), (4, b"\xef\x98\xe0")]
     out = to_utf8(spark.createDataFrame(rows, "id long, content binary")).orderBy("id").collect()
