@@ -388,3 +388,21 @@ def test_mixture_steps_read_blocks_of_bytes(spark):
     assert len(blocks) == 9 and max(len(b["x"]) for b in blocks) <= 1024 * 16  # three classes in three chunks
     stored = {(b["label"], v) for b in blocks for v in np.frombuffer(b["x"]).reshape(-1, 2)[:, 0].tolist()}
     assert stored == {(i % 3, i * 0.5) for i in range(3000)}
+
+
+def test_kernel_features_by_array_operations(monkeypatch):
+    """The cosines are those of NumPy to rounding, without its loop over cells, and nothing of the rows is overwritten."""
+    rng = np.random.default_rng(3)
+    z = np.concatenate([rng.normal(size=9000) * 30, np.arange(-40, 41) * np.pi / 4, [0.0, -0.0, 1e-300]])
+    assert np.abs(learners.cosines(z.reshape(-1, 4).copy()) - np.cos(z.reshape(-1, 4))).max() < 5e-14
+    assert np.isnan(learners.cosines(np.array([np.nan, np.inf]))).all() and learners.cosines(np.empty((0, 5))).shape == (0, 5)
+    x, want = rng.normal(size=(50, 7)), {}
+    for kernel in learners.KERNELS:
+        mapping = learners.KernelMap.draw(kernel, 7, 0.3, 64)
+        want = {"linear": lambda: x, "rbf": lambda: mapping.scale * np.cos(x @ mapping.weights[0] + mapping.offset),
+                "poly": lambda: mapping.scale * np.prod([x @ s for s in mapping.weights], axis=0)}[kernel]()
+        given = x.copy()
+        with monkeypatch.context() as m:
+            m.setattr(learners.np, "cos", None)
+            found = mapping(given)
+        assert np.allclose(found, want, rtol=1e-12, atol=1e-14) and np.array_equal(given, x)
