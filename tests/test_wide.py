@@ -147,7 +147,7 @@ def test_axes_take_little_memory_of_the_driver():
     block = 8 * width * (k + wide.EXTRA)
     spectrum = (np.arange(1, width + 1.0) ** -0.5)[:, None]
     tracemalloc.start()
-    found = wide.top_axes(lambda w: spectrum * w, width, k, 1e-7)
+    found = wide.lean_axes(lambda w: spectrum * w, width, k, 1e-7)
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found.passes > 3 and most < 7 * block
@@ -159,6 +159,20 @@ def test_restarts_lose_nothing():
     rng = np.random.default_rng(6)
     q = np.linalg.qr(rng.normal(size=(900, 900)))[0]
     a = (q * np.arange(1, 901.0) ** -0.3) @ q.T
-    found = wide.top_axes(lambda w: a @ w, 900, 12)
+    found = wide.lean_axes(lambda w: a @ w, 900, 12)
     assert found.passes > 6 and np.allclose(found.values, np.arange(1, 13.0) ** -0.3, rtol=1e-10)
     assert np.allclose(a @ found.vectors, found.vectors * found.values, atol=2e-9)
+
+
+def test_lean_axes_equal_those_with_images():
+    rng = np.random.default_rng(8)
+    for spectrum in (np.geomspace(1, 1e-6, 200), np.repeat([5.0, 2.0, 1.0], [3, 60, 137]), np.r_[np.ones(4), np.zeros(196)], np.zeros(200)):
+        q = np.linalg.qr(rng.normal(size=(200, 200)))[0]
+        a = (q * spectrum) @ q.T
+        one, two = wide.top_axes(lambda w, a=a: a @ w, 200, 3), wide.lean_axes(lambda w, a=a: a @ w, 200, 3)
+        assert np.allclose(one.values, two.values, atol=1e-9) and np.allclose(a @ two.vectors, two.vectors * two.values, atol=1e-8)
+        assert np.allclose(two.vectors.T @ two.vectors, np.eye(3), atol=1e-12)
+    a = np.diag(np.linspace(1, 0.99, 300))
+    with pytest.raises(RuntimeError):
+        wide.lean_axes(lambda w: a @ w, 300, 5, max_passes=2)
+    assert np.allclose(wide.lean_axes(lambda w: a @ w, 300, 300).values, np.sort(np.diag(a))[::-1])
